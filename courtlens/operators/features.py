@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtlens.functions.expressions import at_least, finite_or_zero, require_columns
@@ -16,10 +16,26 @@ from courtlens.schema import INVERTED_FEATURES, PLAYER, PLAYSTYLE_FEATURES, SKIL
 NO_SPREAD = 1e-12
 
 
+def skill_feature_columns() -> list[Column]:
+    """The ten skill features of a profile, with anything not finite set to 0."""
+    return [finite_or_zero(F.col(f)).alias(f) for f in SKILL_FEATURES]
+
+
+def playstyle_feature_columns() -> list[Column]:
+    """The thirteen style features of a profile, with anything not finite set to 0."""
+    derived = {
+        "drop_usage_rate": F.col("average_drop_attempts")
+        / at_least(F.col("average_match_duration"), 1.0),
+        "error_to_winner_ratio": F.col("average_unforced_errors")
+        / at_least(F.col("average_winners"), 1.0),
+    }
+    return [finite_or_zero(derived.get(f, F.col(f))).alias(f) for f in PLAYSTYLE_FEATURES]
+
+
 def create_ml_features(profiles: DataFrame) -> DataFrame:
-    """player_id and the ten skill features, with anything not finite set to 0."""
+    """player_id and the ten skill features."""
     require_columns(profiles, SKILL_FEATURES, "Missing required feature columns: ")
-    return profiles.select(PLAYER, *[finite_or_zero(F.col(f)).alias(f) for f in SKILL_FEATURES])
+    return profiles.select(PLAYER, *skill_feature_columns())
 
 
 def prepare_for_ml(ml_features: DataFrame) -> DataFrame:
@@ -78,16 +94,8 @@ def scale_ml_features(oriented: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def create_playstyle_features(profiles: DataFrame) -> DataFrame:
-    """player_id and the thirteen style features, with anything not finite set to 0."""
-    derived = profiles.withColumns(
-        {
-            "drop_usage_rate": F.col("average_drop_attempts")
-            / at_least(F.col("average_match_duration"), 1.0),
-            "error_to_winner_ratio": F.col("average_unforced_errors")
-            / at_least(F.col("average_winners"), 1.0),
-        }
-    )
-    return derived.select(PLAYER, *[finite_or_zero(F.col(f)).alias(f) for f in PLAYSTYLE_FEATURES])
+    """player_id and the thirteen style features."""
+    return profiles.select(PLAYER, *playstyle_feature_columns())
 
 
 def prepare_playstyle_features(playstyle_features: DataFrame) -> DataFrame:

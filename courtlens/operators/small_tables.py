@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ def join_small(
     return df.join(F.broadcast(local), list(on), how)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="courtlens-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -41,9 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    folder = tempfile.mkdtemp(prefix="courtlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,0 +1 @@
+"""Whole analyses composed from the operators."""
