@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.functions.expressions import at_least, finite_or_zero, require_columns
+from courtlens.functions.expressions import finite_or_zero, quoted, require_columns
 from courtlens.operators.small_tables import join_small
 from courtlens.schema import INVERTED_FEATURES, PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
 
@@ -16,31 +16,37 @@ from courtlens.schema import INVERTED_FEATURES, PLAYER, PLAYSTYLE_FEATURES, SKIL
 NO_SPREAD = 1e-12
 
 
-def skill_feature_columns() -> list[Column]:
-    """The ten skill features of a profile, with anything not finite set to 0."""
-    return [finite_or_zero(F.col(f)).alias(f) for f in SKILL_FEATURES]
+# Style features that are not profile columns already: averages per minute and per winner, with
+# the denominator at least 1 and a missing one kept missing.
+_DERIVED = {
+    "drop_usage_rate": "average_drop_attempts"
+    " / if(average_match_duration IS NOT NULL, greatest(average_match_duration, 1D), NULL)",
+    "error_to_winner_ratio": "average_unforced_errors"
+    " / if(average_winners IS NOT NULL, greatest(average_winners, 1D), NULL)",
+}
 
 
-def playstyle_feature_columns() -> list[Column]:
-    """The thirteen style features of a profile, with anything not finite set to 0."""
-    derived = {
-        "drop_usage_rate": F.col("average_drop_attempts")
-        / at_least(F.col("average_match_duration"), 1.0),
-        "error_to_winner_ratio": F.col("average_unforced_errors")
-        / at_least(F.col("average_winners"), 1.0),
-    }
-    return [finite_or_zero(derived.get(f, F.col(f))).alias(f) for f in PLAYSTYLE_FEATURES]
+def skill_feature_columns() -> list[str]:
+    """SQL of the ten skill features of a profile, with anything not finite set to 0."""
+    return [f"{finite_or_zero(f)} AS {f}" for f in SKILL_FEATURES]
+
+
+def playstyle_feature_columns() -> list[str]:
+    """SQL of the thirteen style features of a profile, with anything not finite set to 0."""
+    return [f"{finite_or_zero(_DERIVED.get(f, f))} AS {f}" for f in PLAYSTYLE_FEATURES]
 
 
 def create_ml_features(profiles: DataFrame) -> DataFrame:
     """player_id and the ten skill features."""
     require_columns(profiles, SKILL_FEATURES, "Missing required feature columns: ")
-    return profiles.select(PLAYER, *skill_feature_columns())
+    return profiles.selectExpr(PLAYER, *skill_feature_columns())
 
 
 def prepare_for_ml(ml_features: DataFrame) -> DataFrame:
     """Flip the sign of features where lower is better (0 - x, so 0 never becomes -0)."""
-    return ml_features.withColumns({f: F.lit(0.0) - F.col(f) for f in INVERTED_FEATURES})
+    return ml_features.selectExpr(
+        *[f"0D - {c} AS {c}" if c in INVERTED_FEATURES else quoted(c) for c in ml_features.columns]
+    )
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -50,42 +56,26 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataF
     ``(feature, mean, scale)``. One aggregate computes every mean and deviation and is inlined
     as a scalar subquery.
     """
-    fitted = df.agg(
-        F.struct(
-            *[
-                F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c)
-                for c in columns
-            ]
-        ).alias("fitted")
+    names = {c: quoted(c) for c in columns}
+    each = [f"struct(avg({n}) AS mean, stddev_pop({n}) AS sd) AS {n}" for n in names.values()]
+    fitted = df.agg(F.expr(f"struct({', '.join(each)}) AS _fitted"))
+
+    def scale(n: str) -> str:
+        return f"if(_fitted.{n}.sd < {NO_SPREAD}, 1D, _fitted.{n}.sd)"
+
+    scaled = df.withColumn("_fitted", fitted.scalar()).selectExpr(
+        *[
+            f"({names[c]} - _fitted.{names[c]}.mean) / {scale(names[c])} AS {names[c]}"
+            if c in names
+            else quoted(c)
+            for c in df.columns
+        ]
     )
-
-    def scale(c: str):
-        sd = F.col("_fitted")[c]["sd"]
-        return F.when(sd < NO_SPREAD, F.lit(1.0)).otherwise(sd)
-
-    scaled = (
-        df.withColumn("_fitted", fitted.scalar())
-        .withColumns({c: (F.col(c) - F.col("_fitted")[c]["mean"]) / scale(c) for c in columns})
-        .drop("_fitted")
+    parameters = ", ".join(
+        f"struct('{c}' AS feature, _fitted.{n}.mean AS mean, {scale(n)} AS scale)"
+        for c, n in names.items()
     )
-    parameters = (
-        fitted.withColumnRenamed("fitted", "_fitted")
-        .select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("feature"),
-                            F.col("_fitted")[c]["mean"].alias("mean"),
-                            scale(c).alias("scale"),
-                        )
-                        for c in columns
-                    ]
-                )
-            )
-        )
-    )
-    return scaled, parameters
+    return scaled, fitted.selectExpr(f"inline(array({parameters}))")
 
 
 def scale_ml_features(oriented: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,7 +85,7 @@ def scale_ml_features(oriented: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def create_playstyle_features(profiles: DataFrame) -> DataFrame:
     """player_id and the thirteen style features."""
-    return profiles.select(PLAYER, *playstyle_feature_columns())
+    return profiles.selectExpr(PLAYER, *playstyle_feature_columns())
 
 
 def prepare_playstyle_features(playstyle_features: DataFrame) -> DataFrame:
@@ -117,29 +107,31 @@ def residualize_playstyle_features(
     not vary, keeps its values; rows without a group become NULL.
     """
     features = list(PLAYSTYLE_FEATURES if features_to_residualize is None else features_to_residualize)
-    x = F.col(target_column)
+    group, x = quoted(group_column), quoted(target_column)
+    fit = f"count(*) >= 3 AND min({x}) < max({x}) AND var_pop({x}) > 0"
+    slopes = [
+        f"struct(avg({quoted(f)}) AS mean,"
+        f" if({fit}, covar_pop({x}, {quoted(f)}) / var_pop({x}), 0D) AS slope) AS {quoted(f)}"
+        for f in features
+    ]
     lines = (
-        df.filter(F.col(group_column).isNotNull())
+        df.filter(f"{group} IS NOT NULL")
         .groupBy(group_column)
-        .agg(
-            ((F.count(F.lit(1)) >= 3) & (F.min(x) < F.max(x))).alias("_fit"),
-            F.avg(x).alias("_x"),
-            F.var_pop(x).alias("_var"),
-            *[F.avg(f).alias(f"_mean_{f}") for f in features],
-            *[F.covar_pop(x, F.col(f)).alias(f"_cov_{f}") for f in features],
-        )
+        .agg(F.expr(f"struct({fit} AS fit, avg({x}) AS centre, {', '.join(slopes)}) AS _line"))
     )
 
-    def residual(f: str):
-        predicted = F.col(f"_mean_{f}") + F.col(f"_cov_{f}") / F.col("_var") * (x - F.col("_x"))
+    def residual(f: str) -> str:
+        line = f"_line.{f}"
         return (
-            F.when(F.col("_fit"), F.col(f) - predicted)
-            .when(F.col(group_column).isNotNull(), F.col(f).cast("double"))
-            .alias(f)
+            f"CASE WHEN _line.fit"
+            f" THEN {f} - ({line}.mean + {line}.slope * ({x} - _line.centre))"
+            f" WHEN {group} IS NOT NULL THEN CAST({f} AS double) END AS {f}"
         )
 
     joined = join_small(df, lines, [group_column], how="left")
-    return joined.select(*[residual(c) if c in features else F.col(c) for c in df.columns])
+    return joined.selectExpr(
+        *[residual(quoted(c)) if c in features else quoted(c) for c in df.columns]
+    )
 
 
 def scale_playstyle_features(playstyle_features: DataFrame) -> tuple[DataFrame, DataFrame]:

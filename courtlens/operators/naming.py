@@ -20,7 +20,7 @@ from courtlens.functions.naming_rules import (
     archetype_name,
     describe_name,
 )
-from courtlens.operators.checks import check_complete, check_one_to_one
+from courtlens.operators.checks import check_one_to_one
 from courtlens.operators.small_tables import join_small
 from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES
 
@@ -36,17 +36,17 @@ def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_s
         raise ValueError(
             f"skill_clustered must contain '{rank_by}' to rank the skill clusters by."
         )
-    check_complete(
-        skill_clustered, rank_by,
-        f"Every player needs a '{rank_by}' value to rank the skill clusters by.",
-    )
-    averages = (
-        skill_clustered.filter(F.col("skill_cluster").isNotNull())
-        .groupBy("skill_cluster")
-        .agg(F.avg(rank_by).alias("average"))
+    # A row per cluster comes back; the check and the averages share the pass.
+    averages = skill_clustered.groupBy("skill_cluster").agg(
+        F.avg(rank_by).alias("average"), F.count_if(F.col(rank_by).isNull()).alias("missing")
+    ).toArrow()
+    if any(averages.column("missing").to_pylist()):
+        raise ValueError(f"Every player needs a '{rank_by}' value to rank the skill clusters by.")
+    clusters = skill_clustered.sparkSession.createDataFrame(averages).filter(
+        F.col("skill_cluster").isNotNull()
     )
     # One row per cluster: the ranking is a sorted array, not a window over one partition.
-    ranked = averages.agg(
+    ranked = clusters.agg(
         F.array_sort(F.collect_list(F.struct("average", "skill_cluster"))).alias("ranked")
     ).select(F.size("ranked").alias("n"), F.posexplode("ranked").alias("position", "cluster"))
     position, n = F.col("position"), F.col("n")

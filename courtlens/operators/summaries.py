@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtlens.functions.expressions import quoted
 from courtlens.operators.naming import STYLE_KEYS
 from courtlens.operators.small_tables import join_small
 from courtlens.schema import (
@@ -56,24 +57,17 @@ FINAL_REPORT_FEATURES = [
 ]
 
 
-def _one_row_per_feature(df: DataFrame, features: Sequence[str], statistics: dict) -> DataFrame:
-    """(feature, <statistic>...) from one global aggregate."""
-    flat = df.agg(
-        *[fn(f).alias(f"{name}|{f}") for f in features for name, fn in statistics.items()]
-    )
-    return flat.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f).alias("feature"),
-                        *[F.col(f"`{name}|{f}`").alias(name) for name in statistics],
-                    )
-                    for f in features
-                ]
-            )
-        )
-    )
+def _one_row_per_feature(
+    df: DataFrame, features: Sequence[str], statistics: dict[str, str]
+) -> DataFrame:
+    """(feature, <statistic>...) from one global aggregate; statistics are SQL function names."""
+    rows = [
+        f"struct('{f}' AS feature, "
+        + ", ".join(f"{fn}({quoted(f)}) AS {name}" for name, fn in statistics.items())
+        + ")"
+        for f in features
+    ]
+    return df.agg(F.expr(f"array({', '.join(rows)}) AS rows")).selectExpr("inline(rows)")
 
 
 def _first_players(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
@@ -84,9 +78,8 @@ def feature_information(ml_features: DataFrame) -> DataFrame:
     """(feature, kind, players): MEAN or CONSISTENCY per feature."""
     features = [c for c in ml_features.columns if c in SKILL_FEATURES]
     kind = F.when(F.col("feature").isin(MEAN_FEATURES), "MEAN").otherwise("CONSISTENCY")
-    counted = _one_row_per_feature(
-        ml_features, features, {"players": lambda f: F.count(F.lit(1))}
-    )
+    # Features of an ML frame are never missing, so counting one counts players.
+    counted = _one_row_per_feature(ml_features, features, {"players": "count"})
     return counted.select("feature", kind.alias("kind"), "players")
 
 
@@ -95,14 +88,14 @@ def feature_summary(ml_features: DataFrame) -> DataFrame:
     features = [c for c in ml_features.columns if c != PLAYER]
     return _one_row_per_feature(
         ml_features, features,
-        {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
+        {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"},
     )
 
 
 def scaling_summary(scaled: DataFrame) -> DataFrame:
     """(feature, mean, std) after scaling."""
     features = [c for c in scaled.columns if c != PLAYER]
-    return _one_row_per_feature(scaled, features, {"mean": F.avg, "std": F.stddev_samp})
+    return _one_row_per_feature(scaled, features, {"mean": "avg", "std": "stddev_samp"})
 
 
 def feature_directions(ml_features: DataFrame, oriented: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ SQL, so that the comparison does not depend on random starts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlens.functions.expressions import feature_array, nearest_index
+from courtlens.functions.expressions import feature_array, nearest_index, quoted
 from courtlens.operators import (
     agreement,
     components,
@@ -39,17 +40,22 @@ FIXED_CENTRES = [-0.5, 0.0, 0.5]
 
 def _rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round doubles for comparison; + 0.0 keeps -0.0 out of the result."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(F.col(name), digits) + F.lit(0.0)).alias(name) if kind == "double" else name
-            for name, kind in df.dtypes
+            f"round({quoted(c)}, {digits}) + 0D AS {quoted(c)}" if kind == "double" else quoted(c)
+            for c, kind in df.dtypes
         ]
     )
 
 
+@cache
+def _profile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.aggregate_player_profiles(order_logs.match_logs(spark, sf_dir))
+
+
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player profiles, kept because most queries read them more than once."""
-    return profiles.aggregate_player_profiles(order_logs.match_logs(spark, sf_dir)).persist()
+    return _profile_plan(spark, sf_dir).persist()
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +115,10 @@ def _scaled_style(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _playstyle_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """z-scored style features with the skill columns merged back."""
-    skills = _residuals(spark, sf_dir).select(PLAYER, "skill_score", "skill_cluster", "skill_group")
-    return skills.join(_scaled_style(spark, sf_dir), PLAYER)
+    residuals = _residuals(spark, sf_dir)
+    scaled, _ = features.scale_playstyle_features(residuals)
+    skills = residuals.select(PLAYER, "skill_score", "skill_cluster", "skill_group")
+    return skills.join(scaled, PLAYER)
 
 
 def _styled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,18 +126,17 @@ def _styled(spark: SparkSession, sf_dir: str) -> DataFrame:
     cluster = (F.col("drop_preference_rate_mean") > 0).cast("int") + 2 * (
         F.col("drop_efficiency_mean") > 0
     ).cast("int")
-    return _playstyle_input(spark, sf_dir).withColumn("playstyle_cluster", cluster)
+    return _playstyle_input(spark, sf_dir).withColumn("playstyle_cluster", cluster).persist()
 
 
-def _archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naming.name_playstyles(naming.scaled_centroids(_styled(spark, sf_dir)))
+def _archetypes(styled: DataFrame) -> DataFrame:
+    return naming.name_playstyles(naming.scaled_centroids(styled))
 
 
 def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    styled = naming.apply_playstyle_archetypes(
-        _styled(spark, sf_dir), _archetypes(spark, sf_dir)
-    )
-    return player_report.build_final_player_profiles(styled, _style(spark, sf_dir))
+    styled = _styled(spark, sf_dir)
+    named = naming.apply_playstyle_archetypes(styled, _archetypes(styled))
+    return player_report.build_final_player_profiles(named, _style(spark, sf_dir))
 
 
 def _exploded(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -378,31 +385,30 @@ def scaled_centroids(spark, sf_dir):
 
 def playstyle_traits(spark, sf_dir):
     """One row per chosen trait."""
-    entries = _exploded(_archetypes(spark, sf_dir), STYLE_KEYS)
+    entries = _exploded(_archetypes(_styled(spark, sf_dir)), STYLE_KEYS)
     return entries.filter(F.col("family") != "identity")
 
 
 def archetype_names(spark, sf_dir):
-    return _archetypes(spark, sf_dir).drop("playstyle_traits")
+    return _archetypes(_styled(spark, sf_dir)).drop("playstyle_traits")
 
 
 def archetypes_applied(spark, sf_dir):
     """Archetype and evidence of every player, one row per evidence entry."""
-    applied = naming.apply_playstyle_archetypes(
-        _styled(spark, sf_dir), _archetypes(spark, sf_dir), with_traits=True
-    )
+    styled = _styled(spark, sf_dir)
+    applied = naming.apply_playstyle_archetypes(styled, _archetypes(styled), with_traits=True)
     return _exploded(applied, [PLAYER, *STYLE_KEYS, "playstyle_archetype"])
 
 
 def archetype_summary(spark, sf_dir):
-    return _rounded(
-        summaries.archetype_summary(_styled(spark, sf_dir), _archetypes(spark, sf_dir))
-    )
+    styled = _styled(spark, sf_dir)
+    return _rounded(summaries.archetype_summary(styled, _archetypes(styled)))
 
 
 def archetype_evidence(spark, sf_dir):
-    centroids = naming.playstyle_centroids(_styled(spark, sf_dir), _style(spark, sf_dir))
-    return _rounded(summaries.archetype_evidence(_archetypes(spark, sf_dir), centroids))
+    styled = _styled(spark, sf_dir)
+    centroids = naming.playstyle_centroids(styled, _style(spark, sf_dir))
+    return _rounded(summaries.archetype_evidence(_archetypes(styled), centroids))
 
 
 def final_profiles(spark, sf_dir):
