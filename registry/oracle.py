@@ -12,7 +12,7 @@ from courtlens.operators.summaries import (
     FINAL_REPORT_FEATURES,
 )
 
-DIGITS = 6
+DIGITS = 8
 
 
 def r(expression: str, name: str | None = None) -> str:

@@ -28,7 +28,9 @@ from courtlens.plans import player_report
 from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
 from courtlens.sources import order_logs
 
-DIGITS = 6
+# Sums run in any order, so doubles are compared rounded. Averages of simple fractions are often
+# exact multiples of 1/128 or 1/256; 8 decimals keep those off the rounding edge.
+DIGITS = 8
 STYLE_KEYS = naming.STYLE_KEYS
 
 # Centres of the nearest-centre query, one value for all ten z-scored features.
