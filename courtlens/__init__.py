@@ -6,3 +6,85 @@ from pyspark import cloudpickle
 
 # Task functions travel to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from courtlens.operators.agreement import adjusted_rand_index  # noqa: E402
+from courtlens.operators.components import extract_playstyle_components  # noqa: E402
+from courtlens.operators.features import (  # noqa: E402
+    create_ml_features,
+    create_playstyle_features,
+    prepare_for_ml,
+    prepare_playstyle_features,
+    residualize_playstyle_features,
+    scale_ml_features,
+    scale_playstyle_features,
+)
+from courtlens.operators.naming import (  # noqa: E402
+    apply_playstyle_archetypes,
+    apply_skill_cluster_labels,
+    interpret_playstyle_clusters,
+    interpret_skill_clusters,
+    name_playstyles,
+    playstyle_centroids,
+    scaled_centroids,
+)
+from courtlens.operators.profiles import aggregate_player_profiles, match_features  # noqa: E402
+from courtlens.operators.selection import (  # noqa: E402
+    cluster_playstyles,
+    cluster_skill_groups,
+    playstyle_stability,
+    prepare_clustering_data,
+    select_playstyle_k,
+    select_skill_k,
+)
+from courtlens.operators.silhouette import silhouette  # noqa: E402
+from courtlens.operators.skill import (  # noqa: E402
+    assign_skill_tier,
+    build_skill_model,
+    calculate_skill_score,
+    min_max_normalize,
+)
+from courtlens.plans.player_report import (  # noqa: E402
+    build_final_player_profiles,
+    find_playstyles,
+    find_skill_groups,
+    player_report,
+)
+from courtlens.sources.tables import read_match_logs, read_ratings  # noqa: E402
+
+__all__ = [
+    "adjusted_rand_index",
+    "aggregate_player_profiles",
+    "apply_playstyle_archetypes",
+    "apply_skill_cluster_labels",
+    "assign_skill_tier",
+    "build_final_player_profiles",
+    "build_skill_model",
+    "calculate_skill_score",
+    "cluster_playstyles",
+    "cluster_skill_groups",
+    "create_ml_features",
+    "create_playstyle_features",
+    "extract_playstyle_components",
+    "find_playstyles",
+    "find_skill_groups",
+    "interpret_playstyle_clusters",
+    "interpret_skill_clusters",
+    "match_features",
+    "min_max_normalize",
+    "name_playstyles",
+    "player_report",
+    "playstyle_centroids",
+    "playstyle_stability",
+    "prepare_clustering_data",
+    "prepare_for_ml",
+    "prepare_playstyle_features",
+    "read_match_logs",
+    "read_ratings",
+    "residualize_playstyle_features",
+    "scale_ml_features",
+    "scale_playstyle_features",
+    "scaled_centroids",
+    "select_playstyle_k",
+    "select_skill_k",
+    "silhouette",
+]

@@ -211,20 +211,24 @@ def select_playstyle_k(
 
 def cluster_playstyles(
     group_data: DataFrame,
-    best_k: dict[str, int],
+    best_k: dict[str, int] | int,
     random_state: int = DEFAULT_SEED,
     features: Sequence[str] | None = None,
     sweep: Sweep | None = None,
 ) -> tuple[DataFrame, dict[str, KMeansModel], DataFrame]:
     """Add ``playstyle_cluster`` (numbered from 0 inside each skill group).
 
-    Returns the frame, the model per group and the cluster sizes. A group without an entry in
-    ``best_k`` is a single style, cluster 0.
+    ``best_k`` is per group, or one K for all. Returns the frame, the model per group and the
+    cluster sizes. A group without an entry in ``best_k`` is a single style, cluster 0.
     """
     features = list(PLAYSTYLE_FEATURES if features is None else features)
+    if isinstance(best_k, int) and sweep is not None:
+        best_k = {g: best_k for g, _, k in sweep.models if k == best_k}
     if sweep is None:
         points = pack_points(group_data, features, "skill_group")
         try:
+            if isinstance(best_k, int):
+                best_k = {g: best_k for g in points.groups}
             ks = {g: [k] for g, k in best_k.items() if g in points.groups}
             fitted = fit_kmeans(points, ks, [random_state])
         finally:
