@@ -38,7 +38,7 @@ def playstyle_feature_columns() -> list[str]:
 
 def create_ml_features(profiles: DataFrame) -> DataFrame:
     """player_id and the ten skill features."""
-    require_columns(profiles, SKILL_FEATURES, "Missing required feature columns: ")
+    require_columns(profiles, SKILL_FEATURES, "The profiles lack these features: ")
     return profiles.selectExpr(PLAYER, *skill_feature_columns())
 
 

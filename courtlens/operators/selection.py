@@ -126,16 +126,16 @@ def prepare_clustering_data(skill_profiles: DataFrame, scaled_features: DataFram
 
     Ids must be unique on both sides and no scored player may lack features.
     """
-    require_columns(skill_profiles, [PLAYER], "skill_profiles must contain: ")
-    require_columns(scaled_features, [PLAYER], "scaled_features must contain: ")
-    require_columns(scaled_features, SKILL_FEATURES, "Missing clustering features: ")
+    require_columns(skill_profiles, [PLAYER], "The skill profiles lack: ")
+    require_columns(scaled_features, [PLAYER], "The scaled features lack: ")
+    require_columns(scaled_features, SKILL_FEATURES, "Clustering needs these features: ")
     check_one_to_one(
         skill_profiles,
         scaled_features,
         PLAYER,
-        left_repeats="Duplicate player IDs found in skill_profiles.",
-        right_repeats="Duplicate player IDs found in scaled_features.",
-        lost="Some players were lost when combining skill data and clustering features.",
+        left_repeats="A player occurs twice in the skill profiles.",
+        right_repeats="A player occurs twice in the scaled features.",
+        lost="Some scored players have no scaled features.",
     )
     return skill_profiles.select(PLAYER, "skill_score").join(
         scaled_features.select(PLAYER, *SKILL_FEATURES), PLAYER
@@ -300,7 +300,7 @@ def playstyle_stability(
     )
     agreement = adjusted_rand_index(compared, "_first", "_label", ["skill_group", "position"])
     runs = (
-        chosen.join(F.broadcast(agreement), ["skill_group", "position"], "left")
+        chosen.join(agreement, ["skill_group", "position"], "left")
         .withColumn("ari", F.when(~F.col("k_differs") & (F.col("position") > 0), F.col("ari")))
         .select("skill_group", "seed", "k", "silhouette", "k_differs", "ari")
     )

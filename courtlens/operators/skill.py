@@ -40,7 +40,7 @@ def min_max_normalize(value: Column, bounds: Column) -> Column:
 def calculate_skill_score(profiles: DataFrame) -> DataFrame:
     """Add ``skill_score``: weighted sum of the four normalised metrics, 2 decimals."""
     metrics = list(SKILL_WEIGHTS)
-    require_columns(profiles, metrics, "Missing required skill-score columns: ")
+    require_columns(profiles, metrics, "The skill score needs these columns: ")
     bounded = profiles.withColumn("_bounds", min_max_bounds(profiles, metrics))
 
     def term(metric: str) -> Column:

@@ -110,7 +110,7 @@ def test_result_does_not_depend_on_partitioning(spark, monkeypatch):
     assert np.allclose(one.centres, many.centres) and one.cost == pytest.approx(many.cost)
 
 
-def test_groups_are_fitted_side_by_side(spark):
+def test_groups_are_fitted_side_by_side(spark, monkeypatch):
     a, _ = blobs([(0, 0), (8, 8)], seed=1)
     b, _ = blobs([(0, 5), (5, 0), (9, 9)], seed=2)
     df = frame(spark, np.concatenate([a, b]), team=["a"] * len(a) + ["b"] * len(b))
@@ -120,6 +120,9 @@ def test_groups_are_fitted_side_by_side(spark):
     ]
     assert models[0].cost == pytest.approx(cost(a, models[0].centres))
     assert models[4].cost == pytest.approx(cost(b, models[4].centres))
+    monkeypatch.setattr(kmeans, "BATCH_CENTRES", 1)  # one group at a time
+    again, _ = fit(df, XY, {"a": [2], "b": [2, 3]}, "team", seeds=[1, 2])
+    assert [m.cost for m in again] == pytest.approx([m.cost for m in models])
 
 
 def test_copies_are_folded_and_counted(spark):
@@ -142,7 +145,7 @@ def test_emptied_centre_moves_to_the_farthest_point(spark):
     x = np.array([[0.0, 0.0], [0.1, 0.0], [0.2, 0.0], [50.0, 0.0], [50.1, 0.0]])
     points = pack_points(frame(spark, x), XY)
     runs = [kmeans._Run(ALL, 3, 1, 0, np.array([[0.0, 0.0], [0.05, 0.0], [900.0, 0.0]]))]
-    (spot,) = kmeans._Passes(points).draw(runs, [1], step=0, farthest=True)
+    (spot,) = kmeans._Passes(points, [ALL]).draw(runs, [1], step=0, farthest=True)
     points.release()
     assert spot.tolist() == [[50.1, 0.0]]
 
@@ -288,13 +291,13 @@ def test_input_checks(spark):
     scores, features, _ = skill_frame(spark)
     with pytest.raises(ValueError, match="winner_rate_mean"):
         prepare_clustering_data(scores, features.drop("winner_rate_mean"))
-    with pytest.raises(ValueError, match="skill_profiles"):
+    with pytest.raises(ValueError, match="skill profiles lack: player_id"):
         prepare_clustering_data(scores.drop("player_id"), features)
-    with pytest.raises(ValueError, match="Duplicate.*skill_profiles"):
+    with pytest.raises(ValueError, match="twice in the skill profiles"):
         prepare_clustering_data(scores.union(scores.limit(1)), features)
-    with pytest.raises(ValueError, match="Duplicate.*scaled_features"):
+    with pytest.raises(ValueError, match="twice in the scaled features"):
         prepare_clustering_data(scores, features.union(features.limit(1)))
-    with pytest.raises(ValueError, match="lost"):
+    with pytest.raises(ValueError, match="no scaled features"):
         prepare_clustering_data(scores, features.filter("player_id <> 'p0003'"))
     # players that only have features vanish silently
     assert prepare_clustering_data(scores.filter("player_id <> 'p0003'"), features).count() == 71
