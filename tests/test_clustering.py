@@ -154,7 +154,7 @@ def test_emptied_centre_moves_to_the_farthest_point(spark):
 def test_silhouette_matches_definition(spark, monkeypatch, block):
     monkeypatch.setattr(silhouette_module, "MIN_BLOCK", block)
     monkeypatch.setattr(silhouette_module, "MAX_BLOCK", block)
-    monkeypatch.setattr(silhouette_module, "CHUNK_CELLS", 500)
+    monkeypatch.setattr(silhouette_module, "TILE", 17)
     rng = np.random.default_rng(8)
     x = rng.normal(size=(200, 2))
     x[:70] = x[0]  # a third of all points are copies
