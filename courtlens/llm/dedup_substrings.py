@@ -6,10 +6,11 @@ are judged on the input.
 
 The corpus is cut into reference shards by content: neighbouring windows with the same winnowed
 fingerprint form one passage, and all passages with one fingerprint form one shard, so every copy
-of a window lies in the same shard. Copies of a passage are folded to one row with the smallest
-id before anything is grouped; later copies go as a whole. In each shard the distinct passages are
-streamed in the order of their ids through a suffix automaton of those with smaller ids, and the
-matching statistics of at least ``window`` words mark what the first copy itself repeats.
+of a window lies in the same shard. Copies of a passage (known by 128 bits of hashes) are folded
+to one row with the smallest id before anything is grouped; later copies go as a whole. In each
+shard the distinct passages are streamed in the order of their ids through a suffix automaton of
+those with smaller ids, and the matching statistics of at least ``window`` words mark what the
+first copy itself repeats. Only the words of these first copies are ever moved.
 
 An automaton of a fixed share of the corpus, sent to every task, would make all documents pass all
 shares: work that grows with the square of the corpus. Here passages travel to their shard, only
@@ -36,11 +37,13 @@ from courtlens.llm.common import (
     bloom_filter,
     bloom_has,
     chunks,
+    column,
     keyed,
+    mix,
     store,
     text_buffer,
 )
-from courtlens.llm.shingles import SPACED, UNCHANGED, find_words, winnow
+from courtlens.llm.shingles import SPACED, UNCHANGED, Words, find_words, run_hashes, winnow
 
 WINDOW = 13
 GRAM = 5
@@ -124,105 +127,157 @@ def repeated_windows(passages: list[tuple], window: int) -> list[list[tuple[int,
 
 # ---- tasks ------------------------------------------------------------------
 
+# Fingerprints that a task gathers before it passes them on.
+_GATHER = 4_000_000
+# Salts of the two hashes that identify a run of words.
+_CODE, _OTHER = 0x1D8E4E27C47D124F, 0x5851F42D4C957F2D
+
 
 def _fingerprints(k: int, window: int):
+    """Fingerprints: once for a task's only document that has it, twice for more documents."""
+
+    def flush(prints: list, texts: list) -> pa.RecordBatch:
+        code, text = np.concatenate(prints), np.concatenate(texts)
+        order = np.lexsort((text, code))
+        code, text = code[order], text[order]
+        head = np.ones(len(code), bool)
+        head[1:] = code[1:] != code[:-1]
+        group = np.cumsum(head) - 1
+        other = np.zeros(len(code), bool)
+        other[1:] = ~head[1:] & (text[1:] != text[:-1])
+        shared = np.zeros(int(head.sum()), bool)
+        shared[group[other]] = True
+        own = code[head]
+        out = np.concatenate([own, own[shared]]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(out)], ["print"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prints, texts, size, base = [], [], 0, 0
         for whole in batches:
             for batch in chunks(whole):
                 words = find_words(*text_buffer(batch), SPACED, UNCHANGED)
                 found = winnow(words, k, window)
                 new = np.ones(len(found.at), bool)
                 new[1:] = found.at[1:] != found.at[:-1]
-                texts = words.texts[found.start[new]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found.print[new].view(np.int64)),
-                        batch.column("_id").take(pa.array(texts)),
-                    ],
-                    ["print", "_id"],
-                )
+                prints.append(found.print[new])
+                texts.append(words.texts[found.start[new]] + base)
+                base += batch.num_rows
+                size += len(prints[-1])
+                if size >= _GATHER:
+                    yield flush(prints, texts)
+                    prints, texts, size = [], [], 0
+        if size:
+            yield flush(prints, texts)
 
     return run
 
 
-def _passages(k: int, window: int, repeated=None):
-    """Runs of windows with one fingerprint position, of those the filter may hold."""
+def _cut(words: Words, k: int, window: int, held) -> tuple[np.ndarray, ...]:
+    """Passages whose fingerprint the filter may hold: (fingerprint, first word, end)."""
+    found = winnow(words, k, window)
+    keep = bloom_has(held, found.print)
+    start, code, at = found.start[keep], found.print[keep], found.at[keep]
+    opens = np.ones(len(start), bool)
+    opens[1:] = (at[1:] != at[:-1]) | (words.texts[start[1:]] != words.texts[start[:-1]])
+    heads = np.flatnonzero(opens)
+    tails = np.append(heads[1:], len(start))[: len(heads)] - 1
+    return code[heads], start[heads], start[tails] + window
+
+
+def _placed(batch: pa.RecordBatch, words: Words, code, other, first, last) -> pa.RecordBatch:
+    texts = words.texts[first]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(code.view(np.int64)),
+            pa.array(other.view(np.int64)),
+            batch.column("_id").take(pa.array(texts)),
+            batch.column("_h").take(pa.array(texts)),
+            pa.array((first - words.first[texts]).astype(np.int32)),
+            pa.array((last - first).astype(np.int32)),
+        ],
+        ["shard", "code", "_id", "_h", "start", "words"],
+    )
+
+
+def _passages(k: int, window: int, repeated):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole):
+                words = find_words(*text_buffer(batch), SPACED, UNCHANGED)
+                shard, first, last = _cut(words, k, window, repeated.value)
+                code = run_hashes(words, _CODE)(first, last)
+                yield _placed(batch, words, shard, code, first, last)
+
+    return run
+
+
+def _single_windows(k: int, window: int, large):
+    """The windows of large shards, each a shard of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole):
                 words = find_words(*text_buffer(batch), SPACED, UNCHANGED)
                 found = winnow(words, k, window)
-                keep = slice(None)
-                if repeated is not None:
-                    keep = bloom_has(repeated.value, found.print)
-                start, code, at = found.start[keep], found.print[keep], found.at[keep]
-                opens = np.ones(len(start), bool)
-                opens[1:] = (at[1:] != at[:-1]) | (words.texts[start[1:]] != words.texts[start[:-1]])
-                heads = np.flatnonzero(opens)
-                tails = np.append(heads[1:], len(start))[: len(heads)] - 1
-                first, last = start[heads], start[tails] + window
-                texts = words.texts[first]
-                data = words.folded.tobytes() if len(first) else b""
-                rows = [words.join(data, a, b - a) for a, b in zip(first.tolist(), last.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(code[heads].view(np.int64)),
-                        pa.array(rows, pa.binary()).cast(pa.string()),
-                        batch.column("_id").take(pa.array(texts)),
-                        batch.column("_h").take(pa.array(texts)),
-                        pa.array((first - words.first[texts]).astype(np.int32)),
-                        pa.array((last - first).astype(np.int32)),
-                    ],
-                    ["print", "passage", "_id", "_h", "start", "words"],
-                )
+                first = found.start[bloom_has(large.value, found.print)]
+                last = first + window
+                code = run_hashes(words, _CODE)(first, last)
+                shard = run_hashes(words, _OTHER)(first, last)
+                yield _placed(batch, words, shard, code, first, last)
 
     return run
 
 
-def _cut_again(window: int):
-    """Passages as single windows, each a shard of its own."""
+def _texts_of(k: int, window: int, repeated, wanted):
+    """Words of the passages whose hash and document the second filter may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = _passages(window, window)
-        for batch in batches:
-            place = pa.array(np.arange(batch.num_rows))
-            texts = pa.RecordBatch.from_arrays(
-                [batch.column("passage"), place, place], ["_text", "_id", "_h"]
-            )
-            for cut in step(iter([texts])):
-                row = cut.column("_id")
-                start = batch.column("start").take(row).to_numpy() + cut.column("start").to_numpy()
+        for whole in batches:
+            for batch in chunks(whole):
+                words = find_words(*text_buffer(batch), SPACED, UNCHANGED)
+                shard, first, last = _cut(words, k, window, repeated.value)
+                code = run_hashes(words, _CODE)(first, last)
+                owner = np.asarray(batch.column("_owner"), np.int64).view(np.uint64)
+                key = mix(code ^ owner[words.texts[first]])
+                keep = bloom_has(wanted.value, key)
+                code, shard, first, last = code[keep], shard[keep], first[keep], last[keep]
+                data = words.folded.tobytes() if len(first) else b""
+                rows = [words.join(data, a, b - a) for a, b in zip(first.tolist(), last.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        cut.column("print"),
-                        cut.column("passage"),
-                        batch.column("_id").take(row),
-                        batch.column("_h").take(row),
-                        pa.array(start.astype(np.int32)),
-                        cut.column("words"),
+                        pa.array(shard.view(np.int64)),
+                        pa.array(code.view(np.int64)),
+                        batch.column("_id").take(pa.array(words.texts[first])),
+                        pa.array(rows, pa.binary()).cast(pa.string()),
                     ],
-                    ["print", "passage", "_id", "_h", "start", "words"],
+                    ["shard", "code", "low", "passage"],
                 )
 
     return run
 
 
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of ``_texts_of`` for rows of (code, owner)."""
+    for batch in batches:
+        code, owner = (np.asarray(c, np.int64).view(np.uint64) for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([pa.array(mix(code ^ owner).view(np.int64))], ["key"])
+
+
 def _resolve(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
         for batch in batches:
-            prints, passages, runs = [], [], []
-            for code, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            shards, codes, runs = [], [], []
+            for number, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = repeated_windows([(p["low"], p["passage"].split(" ")) for p in shard], window)
                 for passage, run_list in zip(shard, found):
                     if run_list:
-                        prints.append(code)
-                        passages.append(passage["passage"])
+                        shards.append(number)
+                        codes.append(passage["code"])
                         runs.append([{"a": a, "b": b + window} for a, b in run_list])
-            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prints, pa.int64()), pa.array(passages, pa.string()), pa.array(runs, kind)],
-                ["print", "passage", "runs"],
+                [pa.array(shards, pa.int64()), pa.array(codes, pa.int64()), pa.array(runs, kind)],
+                ["shard", "code", "runs"],
             )
 
     return run
@@ -242,15 +297,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         del words[span["a"] : span["b"]]
                 removed.append(counts[-1] - len(words))
                 kept.append(b" ".join(words))
+            passed = [n for n in batch.schema.names if n not in ("_text", "spans")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_id"),
-                    batch.column("_h"),
+                    *[batch.column(n) for n in passed],
                     pa.array(counts, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()),
                 ],
-                ["_id", "_h", "n_words", "n_removed", "kept"],
+                [*passed, "n_words", "n_removed", "kept"],
             )
 
 
@@ -262,56 +317,68 @@ def repeated_spans(
 ) -> DataFrame:
     """(_id, _h, spans): sorted disjoint word ranges [a, b) to remove, for rows that have any."""
     spark = source.sparkSession
+    share = spark.sparkContext.broadcast
     kind = source.schema["_id"].dataType.simpleString()
     source = source.filter("_id IS NOT NULL")
     shared = store(
-        source.select("_id", "_text")
-        .mapInArrow(_fingerprints(gram, window), f"print bigint, _id {kind}")
+        source.select("_text")
+        .mapInArrow(_fingerprints(gram, window), "print bigint")
+        .repartition("print")
         .groupBy("print")
-        .agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
-        .filter("low < high")
+        .count()
+        .filter(F.col("count") > 1)
         .select("print"),
         "repeated_fingerprints",
     )
-    repeated = bloom_filter(shared, bloom_bits(shared.count()))
-    schema = f"print bigint, passage string, _id {kind}, _h bigint, start int, words int"
-    copies = store(
-        source.mapInArrow(
-            _passages(gram, window, spark.sparkContext.broadcast(repeated)), schema
-        ),
-        "passages",
-    )
+    repeated = share(bloom_filter(shared, bloom_bits(shared.count())))
+    schema = f"shard bigint, code bigint, _id {kind}, _h bigint, start int, words int"
+    copies = store(source.mapInArrow(_passages(gram, window, repeated), schema), "passages")
 
     def fold(df: DataFrame) -> DataFrame:
-        return df.groupBy("print", "passage").agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
+        low, high = F.min("_id").alias("low"), F.max("_id").alias("high")
+        return df.groupBy("shard", "code").agg(low, high)
 
+    distinct = store(fold(copies), "distinct_passages")
     large = store(
-        fold(copies).groupBy("print").count().filter(F.col("count") > shard_passages).select("print"),
+        distinct.groupBy("shard").count().filter(F.col("count") > shard_passages).select("shard"),
         "large_shards",
     )
     if not large.isEmpty():
-        cut = copies.join(large, "print", "left_semi").mapInArrow(_cut_again(window), schema)
-        copies = store(copies.join(large, "print", "left_anti").unionByName(cut), "cut_passages")
-    distinct = store(fold(copies), "distinct_passages")
-    # A shard of one distinct passage has nothing to match; at most shard_passages are listed.
-    shards = (
-        distinct.groupBy("print")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("low").alias("least"),
-            F.max("low").alias("most"),
-            F.collect_list(F.struct("passage", "low")).alias("shard"),
+        held = share(bloom_filter(large, bloom_bits(large.count())))
+        cut = source.mapInArrow(_single_windows(gram, window, held), schema)
+        copies = store(
+            copies.join(large, "shard", "left_anti").unionByName(cut), "passages_cut_again"
+        )
+        distinct = store(fold(copies), "distinct_passages_cut_again")
+    # A shard of one distinct passage, or of one document, has nothing to match.
+    several = distinct.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n"), F.min("low").alias("least"), F.max("low").alias("most")
+    )
+    several = several.filter("n > 1 AND least < most").select("shard")
+    members = store(distinct.join(several, "shard").select("shard", "code", "low"), "members")
+    keys = members.select("code", F.xxhash64("low").alias("owner")).mapInArrow(_mixed, "key bigint")
+    wanted = share(bloom_filter(keys, bloom_bits(members.count())))
+    texts = (
+        source.withColumn("_owner", F.xxhash64("_id"))
+        .mapInArrow(
+            _texts_of(gram, window, repeated, wanted),
+            f"shard bigint, code bigint, low {kind}, passage string",
         )
-        .filter("n > 1 AND least < most")
-        .select("print", "shard")
+        .dropDuplicates(["shard", "code", "low"])
+    )
+    # At most shard_passages are listed.
+    shards = (
+        members.join(texts, ["shard", "code", "low"])
+        .groupBy("shard")
+        .agg(F.collect_list(F.struct("code", "low", "passage")).alias("passages"))
     )
     first_copies = shards.mapInArrow(
-        _resolve(window), "print bigint, passage string, runs array<struct<a:int,b:int>>"
+        _resolve(window), "shard bigint, code bigint, runs array<struct<a:int,b:int>>"
     )
-    todo = distinct.join(first_copies, ["print", "passage"], "left").filter(
+    todo = distinct.join(first_copies, ["shard", "code"], "left").filter(
         "low < high OR runs IS NOT NULL"
     )
-    found = copies.join(todo, ["print", "passage"]).select(
+    found = copies.join(todo, ["shard", "code"]).select(
         "_id",
         "_h",
         F.expr(
@@ -344,15 +411,29 @@ def dedup_substrings(
     window: int = WINDOW,
     gram: int = GRAM,
     shard_passages: int = SHARD_PASSAGES,
+    carry: bool = False,
 ) -> DataFrame:
-    """(_id, _h, n_words, n_removed, kept) per document; ``kept`` joins its words by one space."""
+    """(_id, _h, n_words, n_removed, kept) per document; ``kept`` joins its words by one space.
+
+    With ``carry`` the whole row comes along as the struct ``_row``.
+    """
     source = keyed(docs, id_col, text_col)
     spans = repeated_spans(source, window, gram, shard_passages)
-    left, right = source.alias("doc"), spans.alias("found")
-    both = (F.col("doc._id") == F.col("found._id")) & (F.col("doc._h") == F.col("found._h"))
     kind = source.schema["_id"].dataType.simpleString()
+    schema = f"_id {kind}, _h bigint, "
+    passed = ["doc._id", "doc._h"]
+    left, text = source, F.col("doc._text")
+    if carry:
+        row = F.struct(*[column(docs, c) for c in docs.columns]).alias("_row")
+        given = F.coalesce(column(docs, text_col), F.lit(""))
+        left = docs.select(column(docs, id_col).alias("_id"), F.xxhash64(given).alias("_h"), row)
+        text = F.coalesce(F.col("doc._row").getField(text_col), F.lit("")).alias("_text")
+        schema += f"_row {left.schema['_row'].dataType.simpleString()}, "
+        passed.append("doc._row")
+    left, right = left.alias("doc"), spans.alias("found")
+    both = (F.col("doc._id") == F.col("found._id")) & (F.col("doc._h") == F.col("found._h"))
     return (
         left.join(right, both, "left")
-        .select("doc._id", "doc._h", "doc._text", "found.spans")
-        .mapInArrow(_remove, f"_id {kind}, _h bigint, n_words bigint, n_removed bigint, kept string")
+        .select(*passed, text, "found.spans")
+        .mapInArrow(_remove, f"{schema}n_words bigint, n_removed bigint, kept string")
     )

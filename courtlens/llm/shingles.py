@@ -35,6 +35,14 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def prefix_hashes(data: np.ndarray):
+    """A function that gives the rolling hash of any byte ranges of ``data``."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_R, len(data)), out=sums[1:])
+    inverse = _power(_R_INVERSE, len(data) + 1)
+    return lambda starts, ends: (sums[ends] - sums[starts]) * inverse[starts]
+
+
 @dataclass
 class Words:
     """Words of consecutive texts: byte ranges in ``folded``, hashes, text of each word."""
@@ -67,9 +75,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold:
         closes[tails] = mask[tails]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     folded = fold[data]
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((folded.astype(np.uint64) + np.uint64(1)) * _power(_R, n), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(_R_INVERSE, n + 1)[starts])
+    hashes = mix(prefix_hashes(folded)(starts, ends))
     texts = np.searchsorted(offsets, starts, "right") - 1
     counts = np.bincount(texts, minlength=len(offsets) - 1)
     return Words(folded, starts, ends, hashes, texts, counts, np.concatenate([[0], np.cumsum(counts)]))
@@ -84,6 +90,16 @@ def grams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(total), words.texts[:n] == words.texts[k - 1 : k - 1 + n]
 
 
+def run_hashes(words: Words, salt: int):
+    """A function that gives the hash of any runs of words [start, end); salts are independent."""
+    salted = mix(words.hashes ^ np.uint64(salt))
+    n = len(salted)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(salted * _power(_R, n), out=sums[1:])
+    inverse = _power(_R_INVERSE, n + 1)
+    return lambda starts, ends: mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 @dataclass
 class Windows:
     """All windows: first word, fingerprint, and position of the fingerprint's k-gram."""
