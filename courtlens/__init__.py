@@ -7,7 +7,12 @@ from pyspark import cloudpickle
 # Task functions travel to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+from courtlens.functions.naming_rules import (  # noqa: E402
+    choose_traits as choose_playstyle_traits,
+    describe_name as describe_playstyle_name,
+)
 from courtlens.operators.agreement import adjusted_rand_index  # noqa: E402
+from courtlens.operators.checks import OffendingPlayers  # noqa: E402
 from courtlens.operators.components import extract_playstyle_components  # noqa: E402
 from courtlens.operators.features import (  # noqa: E402
     create_ml_features,
@@ -18,6 +23,15 @@ from courtlens.operators.features import (  # noqa: E402
     scale_ml_features,
     scale_playstyle_features,
 )
+from courtlens.operators.fitted import (  # noqa: E402
+    apply_centres,
+    apply_loadings,
+    apply_residual_lines,
+    apply_scaler,
+    apply_skill_bounds,
+    residual_lines,
+    skill_bounds,
+)
 from courtlens.operators.naming import (  # noqa: E402
     apply_playstyle_archetypes,
     apply_skill_cluster_labels,
@@ -43,6 +57,23 @@ from courtlens.operators.skill import (  # noqa: E402
     calculate_skill_score,
     min_max_normalize,
 )
+from courtlens.operators.summaries import (  # noqa: E402
+    archetype_evidence,
+    archetype_summary,
+    clustering_input_summary,
+    clustering_samples,
+    feature_directions,
+    feature_information,
+    feature_summary,
+    final_profile_samples,
+    playstyle_cluster_profiles,
+    scaling_summary,
+    skill_cluster_profiles,
+    skill_group_summary,
+    skill_profile_samples,
+    skill_summary,
+    tier_counts,
+)
 from courtlens.plans.player_report import (  # noqa: E402
     build_final_player_profiles,
     find_playstyles,
@@ -52,9 +83,33 @@ from courtlens.plans.player_report import (  # noqa: E402
 from courtlens.sources.tables import read_match_logs, read_ratings  # noqa: E402
 
 __all__ = [
+    "OffendingPlayers",
     "adjusted_rand_index",
+    "archetype_evidence",
+    "archetype_summary",
+    "choose_playstyle_traits",
+    "clustering_input_summary",
+    "clustering_samples",
+    "describe_playstyle_name",
+    "feature_directions",
+    "feature_information",
+    "feature_summary",
+    "final_profile_samples",
+    "playstyle_cluster_profiles",
+    "scaling_summary",
+    "skill_bounds",
+    "skill_cluster_profiles",
+    "skill_group_summary",
+    "skill_profile_samples",
+    "skill_summary",
+    "tier_counts",
     "aggregate_player_profiles",
+    "apply_centres",
+    "apply_loadings",
     "apply_playstyle_archetypes",
+    "apply_residual_lines",
+    "apply_scaler",
+    "apply_skill_bounds",
     "apply_skill_cluster_labels",
     "assign_skill_tier",
     "build_final_player_profiles",
@@ -80,6 +135,7 @@ __all__ = [
     "prepare_playstyle_features",
     "read_match_logs",
     "read_ratings",
+    "residual_lines",
     "residualize_playstyle_features",
     "scale_ml_features",
     "scale_playstyle_features",

@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Turn NaN into NULL in every floating-point column.
+def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Turn NaN into NULL in every floating-point column, or in those of ``columns``.
 
     Spark orders NaN above all numbers and lets it poison averages; NULL is skipped by
     aggregates and fails comparisons, which is the missing-value rule used here.
     """
     floating = {
-        f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        and (columns is None or f.name in columns)
     }
+    if not floating:
+        return df
     return df.selectExpr(
         *[
             f"CASE WHEN NOT isnan({quoted(c)}) THEN {quoted(c)} END AS {quoted(c)}"
@@ -83,6 +88,13 @@ def feature_array(features: Sequence[str]) -> Column:
     return F.array(*[F.col(f).cast("double") for f in features])
 
 
+def is_missing(name: str, df: DataFrame) -> Column:
+    """NULL, or NaN where the column can hold it."""
+    kind = df.schema[name].dataType
+    missing = F.col(name).isNull()
+    return missing | F.isnan(name) if isinstance(kind, (T.DoubleType, T.FloatType)) else missing
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], message: str) -> None:
     """Raise ValueError naming the columns that are missing from ``df``."""
     missing = [c for c in columns if c not in df.columns]

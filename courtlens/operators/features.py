@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.functions.expressions import finite_or_zero, quoted, require_columns
+from courtlens.functions.expressions import finite_or_zero, nan_to_null, quoted, require_columns
 from courtlens.operators.small_tables import join_small
 from courtlens.schema import INVERTED_FEATURES, PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
 
@@ -57,6 +57,7 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataF
     as a scalar subquery.
     """
     names = {c: quoted(c) for c in columns}
+    df = nan_to_null(df, columns)
     each = [f"struct(avg({n}) AS mean, stddev_pop({n}) AS sd) AS {n}" for n in names.values()]
     fitted = df.agg(F.expr(f"struct({', '.join(each)}) AS _fitted"))
 
@@ -107,6 +108,7 @@ def residualize_playstyle_features(
     not vary, keeps its values; rows without a group become NULL.
     """
     features = list(PLAYSTYLE_FEATURES if features_to_residualize is None else features_to_residualize)
+    df = nan_to_null(df, [target_column, *features])
     group, x = quoted(group_column), quoted(target_column)
     fit = f"count(*) >= 3 AND min({x}) < max({x}) AND var_pop({x}) > 0"
     slopes = [

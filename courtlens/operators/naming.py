@@ -20,6 +20,7 @@ from courtlens.functions.naming_rules import (
     archetype_name,
     describe_name,
 )
+from courtlens.functions.expressions import is_missing, nan_to_null
 from courtlens.operators.checks import check_one_to_one
 from courtlens.operators.small_tables import join_small
 from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES
@@ -38,7 +39,7 @@ def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_s
         )
     # A row per cluster comes back; the check and the averages share the pass.
     averages = skill_clustered.groupBy("skill_cluster").agg(
-        F.avg(rank_by).alias("average"), F.count_if(F.col(rank_by).isNull()).alias("missing")
+        F.avg(rank_by).alias("average"), F.count_if(is_missing(rank_by, skill_clustered)).alias("missing")
     ).toArrow()
     if any(averages.column("missing").to_pylist()):
         raise ValueError(f"Some players have no '{rank_by}'; clusters cannot be ranked by it.")
@@ -75,14 +76,15 @@ def playstyle_centroids(
         left_repeats="A player occurs twice among the clustered players.",
         right_repeats="A player occurs twice in the raw style features.",
     )
-    raw = raw_playstyle_features.select(PLAYER, *PLAYSTYLE_FEATURES)
+    raw = nan_to_null(raw_playstyle_features.select(PLAYER, *PLAYSTYLE_FEATURES))
     merged = clustered.select(PLAYER, *keys).join(raw, PLAYER, "left")
     return merged.groupBy(*keys).agg(*[F.avg(f).alias(f) for f in PLAYSTYLE_FEATURES])
 
 
 def scaled_centroids(clustered: DataFrame, keys: Sequence[str] = STYLE_KEYS) -> DataFrame:
     """Mean z-score of the thirteen style features per cluster; what names are read from."""
-    return clustered.groupBy(*keys).agg(*[F.avg(f).alias(f) for f in PLAYSTYLE_FEATURES])
+    known = nan_to_null(clustered.select(*keys, *PLAYSTYLE_FEATURES))
+    return known.groupBy(*keys).agg(*[F.avg(f).alias(f) for f in PLAYSTYLE_FEATURES])
 
 
 def name_playstyles(centroids: DataFrame, max_traits: int = FAMILIES) -> DataFrame:

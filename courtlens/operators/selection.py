@@ -6,6 +6,7 @@ all resulting labelings are scored over the same distances.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from courtlens.operators.agreement import adjusted_rand_index
 from courtlens.operators.checks import check_one_to_one
 from courtlens.operators.kmeans import (
     KMeansModel,
+    Starts,
     assign_clusters,
     assign_labelings,
     centres_frame,
@@ -29,6 +31,7 @@ from courtlens.schema import (
     DEFAULT_SEED,
     K_MAX,
     K_MIN,
+    MAX_ITER,
     N_INIT,
     PLAYER,
     PLAYSTYLE_FEATURES,
@@ -45,25 +48,31 @@ class Sweep:
     silhouettes: dict[tuple[str, int, int], tuple[int, float | None]]
     features: list[str]
 
+    def chosen(self, seed: int) -> dict[str, int]:
+        """Per group, the K with the highest silhouette; the smallest such K.
+
+        A group whose players are all alike has no K with two clusters and is left out.
+        """
+        best: dict[str, tuple[float, int]] = {}
+        for (g, s, k), (_, value) in self.silhouettes.items():
+            if s == seed and value is not None:
+                best[g] = min(best.get(g, (math.inf, 0)), (-value, k))
+        return {g: k for g, (_, k) in sorted(best.items())}
+
     def best_k(self, group: str, seed: int) -> int:
-        """K with the highest silhouette; the smallest such K."""
-        scored = {
-            k: value
-            for (g, s, k), (_, value) in self.silhouettes.items()
-            if g == group and s == seed and value is not None
-        }
-        if not scored:
+        chosen = self.chosen(seed)
+        if group not in chosen:
             raise ValueError(f"No K gives at least two clusters in '{group}'.")
-        return min(scored, key=lambda k: (-scored[k], k))
+        return chosen[group]
 
     def best_models(self, seed: int) -> dict[str, KMeansModel]:
-        groups = sorted({g for g, s, _ in self.models if s == seed})
-        return {g: self.models[(g, seed, self.best_k(g, seed))] for g in groups}
+        return {g: self.models[(g, seed, k)] for g, k in self.chosen(seed).items()}
 
     def results(self, df: DataFrame) -> DataFrame:
         """(skill_group, seed, k, clusters, silhouette, cost, selected)."""
+        chosen = {s: self.chosen(s) for s in {s for _, s, _ in self.models}}
         rows = [
-            (g, s, k, clusters, value, self.models[(g, s, k)].cost, self.best_k(g, s) == k)
+            (g, s, k, clusters, value, self.models[(g, s, k)].cost, chosen[s].get(g) == k)
             for (g, s, k), (clusters, value) in sorted(self.silhouettes.items())
         ]
         return df.sparkSession.createDataFrame(
@@ -87,8 +96,13 @@ def sweep_k(
     metric: str = "euclidean",
     min_rows: int = 0,
     skip_small: bool = False,
+    starts: Starts | None = None,
+    max_iter: int = MAX_ITER,
 ) -> Sweep:
-    """Fit and score K = k_min .. min(k_max, rows - 1) in every group and for every seed."""
+    """Fit and score K = k_min .. min(k_max, rows - 1) in every group and for every seed.
+
+    ``starts`` are given starting centres by (group, K, seed) instead of random restarts.
+    """
     points = pack_points(df, features, group_col)
     try:
         ks = {}
@@ -98,11 +112,13 @@ def sweep_k(
                 if skip_small:
                     continue
                 where = "" if group_col is None else f" in '{group}'"
-                raise ValueError(f"Not enough players{where} for K selection.")
+                raise ValueError(f"Too few players{where} to compare several K.")
             ks[group] = list(range(k_min, top + 1))
         if not ks and not skip_small:
-            raise ValueError("Not enough players for K selection.")
-        models = fit_kmeans(points, ks, list(seeds), n_init=n_init)
+            raise ValueError("Too few players to compare several K.")
+        models = fit_kmeans(
+            points, ks, list(seeds), n_init=n_init, max_iter=max_iter, starts=starts
+        )
         names: dict[str, list[tuple[int, int]]] = {}
         for m in models:
             names.setdefault(m.group, []).append((m.seed, m.k))
@@ -149,10 +165,13 @@ def select_skill_k(
     random_state: int = DEFAULT_SEED,
     n_init: int = N_INIT,
     metric: str = "euclidean",
+    starts: Starts | None = None,
+    max_iter: int = MAX_ITER,
 ) -> tuple[int, Sweep]:
     """K with the best silhouette over the ten skill features, and everything fitted for it."""
     sweep = sweep_k(
-        clustering_data, SKILL_FEATURES, None, k_min, k_max, [random_state], n_init, metric
+        clustering_data, SKILL_FEATURES, None, k_min, k_max, [random_state], n_init, metric,
+        starts=starts, max_iter=max_iter,
     )
     return sweep.best_k(ALL, random_state), sweep
 
@@ -192,21 +211,22 @@ def select_playstyle_k(
     n_init: int = N_INIT,
     metric: str = "euclidean",
     skip_small: bool = False,
+    starts: Starts | None = None,
+    max_iter: int = MAX_ITER,
 ) -> tuple[DataFrame, dict[str, int], Sweep]:
     """Best K per skill group; all groups at once, or only ``skill_group``.
 
     ``features`` are the columns K-Means sees: the thirteen scaled style features unless given
     (usually the component scores). A group with fewer than three players raises, unless
-    ``skip_small``: then it gets no model.
+    ``skip_small``: then it gets no model. Neither does a group whose players are all alike.
     """
     features = list(PLAYSTYLE_FEATURES if features is None else features)
     group_data = _in_group(skill_clustered, skill_group)
     sweep = sweep_k(
         group_data, features, "skill_group", k_min, k_max, [random_state], n_init, metric,
-        min_rows=3, skip_small=skip_small,
+        min_rows=3, skip_small=skip_small, starts=starts, max_iter=max_iter,
     )
-    groups = {g for g, _, _ in sweep.models}
-    return group_data, {g: sweep.best_k(g, random_state) for g in sorted(groups)}, sweep
+    return group_data, sweep.chosen(random_state), sweep
 
 
 def cluster_playstyles(
@@ -262,6 +282,8 @@ def playstyle_stability(
     features: Sequence[str] | None = None,
     n_init: int = N_INIT,
     metric: str = "euclidean",
+    starts: Starts | None = None,
+    max_iter: int = MAX_ITER,
 ) -> tuple[DataFrame, DataFrame]:
     """Repeat K selection under several seeds and compare the outcomes per skill group.
 
@@ -274,7 +296,8 @@ def playstyle_stability(
     seeds = list(STABILITY_SEEDS if random_states is None else random_states)
     data = _in_group(skill_clustered, skill_group)
     sweep = sweep_k(
-        data, features, "skill_group", k_min, k_max, seeds, n_init, metric, min_rows=3
+        data, features, "skill_group", k_min, k_max, seeds, n_init, metric, min_rows=3,
+        starts=starts, max_iter=max_iter,
     )
     spark = skill_clustered.sparkSession
     best = {seed: sweep.best_models(seed) for seed in seeds}
@@ -286,10 +309,11 @@ def playstyle_stability(
             )
             for i, seed in enumerate(seeds)
             for g, model in best[seed].items()
+            if g in best[seeds[0]]
         ],
         "skill_group string, position int, seed int, k int, silhouette double, k_differs boolean",
     )
-    groups = sorted({g for g, _, _ in sweep.models})
+    groups = sorted(set.intersection(*[set(best[s]) for s in seeds]))
     labelled = assign_labelings(
         data, features, {g: [best[s][g] for s in seeds] for g in groups}, "_labels", "skill_group"
     )

@@ -8,7 +8,12 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.functions.expressions import require_columns, round_half_even
+from courtlens.functions.expressions import (
+    is_missing,
+    nan_to_null,
+    require_columns,
+    round_half_even,
+)
 from courtlens.schema import (
     INTERMEDIATE_FROM,
     PROFESSIONAL_FROM,
@@ -38,9 +43,13 @@ def min_max_normalize(value: Column, bounds: Column) -> Column:
 
 
 def calculate_skill_score(profiles: DataFrame) -> DataFrame:
-    """Add ``skill_score``: weighted sum of the four normalised metrics, 2 decimals."""
+    """Add ``skill_score``: weighted sum of the four normalised metrics, 2 decimals.
+
+    A NaN metric is missing: it takes no part in the bounds, and its row has no score.
+    """
     metrics = list(SKILL_WEIGHTS)
     require_columns(profiles, metrics, "The skill score needs these columns: ")
+    profiles = nan_to_null(profiles, metrics)
     bounded = profiles.withColumn("_bounds", min_max_bounds(profiles, metrics))
 
     def term(metric: str) -> Column:
@@ -54,9 +63,12 @@ def calculate_skill_score(profiles: DataFrame) -> DataFrame:
 
 
 def assign_skill_tier(profiles: DataFrame) -> DataFrame:
-    """Add ``skill_tier`` from the rounded score; a missing score counts as the lowest tier."""
+    """Add ``skill_tier`` from the rounded score; a missing score counts as the lowest tier.
+
+    NaN is missing too; Spark would order it above every number.
+    """
     beginner, intermediate, professional = SKILL_TIERS
-    score = F.col("skill_score")
+    score = F.when(~is_missing("skill_score", profiles), F.col("skill_score"))
     return profiles.withColumn(
         "skill_tier",
         F.when(score >= PROFESSIONAL_FROM, professional)

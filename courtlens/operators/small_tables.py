@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -10,9 +11,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest parameter table that is broadcast. Rows are a few hundred bytes, so this stays
-# within a few MB on the driver and on every executor.
+# Largest parameter table that is broadcast, in rows and in bytes.
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 8 << 20
 
 
 def join_small(
@@ -20,17 +21,26 @@ def join_small(
 ) -> DataFrame:
     """Join ``df`` with a table that is expected, but not trusted, to be small.
 
-    At most BROADCAST_ROWS + 1 rows are fetched. If the table fits it is broadcast from there,
-    so ``df`` is not shuffled and a key holding most rows does no harm. If it does not fit, the
+    At most BROADCAST_ROWS + 1 rows are fetched. If they are all and fit, they are broadcast, so ``df`` is not shuffled and a key holding most rows does no harm. If it does not fit, the
     join is an ordinary shuffled one, where adaptive execution splits skewed partitions.
     """
     head = small.limit(BROADCAST_ROWS + 1).toArrow()
-    if head.num_rows > BROADCAST_ROWS:
+    if head.num_rows > BROADCAST_ROWS or head.nbytes > BROADCAST_BYTES:
         return df.join(small, list(on), how)
     local = df.sparkSession.createDataFrame(head, schema=small.schema)
     return df.join(F.broadcast(local), list(on), how)
 
 
+def join_rows(
+    df: DataFrame, rows: Sequence[tuple], schema: str, on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join ``df`` with rows the driver holds already; broadcast up to BROADCAST_BYTES."""
+    table = df.sparkSession.createDataFrame(list(rows), schema)
+    if len(pickle.dumps(rows)) <= BROADCAST_BYTES:
+        table = F.broadcast(table)
+    return df.join(table, list(on), how)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="courtlens-")

@@ -114,3 +114,4 @@ K_MIN, K_MAX = 2, 5
 DEFAULT_SEED = 42
 STABILITY_SEEDS = [1, 7, 21, 42, 100]
 N_INIT = 20
+MAX_ITER = 300

@@ -5,12 +5,82 @@ Each statement is written out of the shared table expressions below; it uses the
 
 from __future__ import annotations
 
-from courtlens.schema import PLAYSTYLE_FEATURES, RATE_PREFIXES, SKILL_FEATURES
-from courtlens.operators.summaries import (
-    DIRECTION_FEATURES,
-    EVIDENCE_FEATURES,
-    FINAL_REPORT_FEATURES,
-)
+import re
+
+# ---- Fixed values, written out so that they check those of the engine -------
+
+RATE_PREFIXES = {
+    "drop_efficiency": "drop_efficiency",
+    "winner_rate_pm": "winner_rate",
+    "general_error_rate_pm": "general_error_rate",
+    "dink_error_rate_pm": "dink_error_rate",
+    "aggression_rate": "aggression",
+    "drop_preference_rate": "drop_preference_rate",
+    "net_game_preference_rate": "net_game_preference_rate",
+}
+SKILL_FEATURES = [
+    "winner_rate_mean",
+    "general_error_rate_mean",
+    "dink_error_rate_mean",
+    "drop_efficiency_mean",
+    "aggression_mean",
+    "winner_rate_std",
+    "general_error_rate_std",
+    "dink_error_rate_std",
+    "drop_efficiency_std",
+    "aggression_std",
+]
+PLAYSTYLE_FEATURES = [
+    "aggression_mean",
+    "aggression_std",
+    "drop_efficiency_mean",
+    "drop_efficiency_std",
+    "winner_rate_std",
+    "general_error_rate_std",
+    "dink_error_rate_std",
+    "drop_usage_rate",
+    "error_to_winner_ratio",
+    "drop_preference_rate_mean",
+    "drop_preference_rate_std",
+    "net_game_preference_rate_mean",
+    "net_game_preference_rate_std",
+]
+DIRECTION_FEATURES = [
+    "winner_rate_mean",
+    "general_error_rate_mean",
+    "dink_error_rate_mean",
+    "drop_efficiency_mean",
+    "winner_rate_std",
+    "general_error_rate_std",
+    "dink_error_rate_std",
+]
+EVIDENCE_FEATURES = [
+    "aggression_mean",
+    "drop_efficiency_mean",
+    "drop_usage_rate",
+    "error_to_winner_ratio",
+    "aggression_std",
+    "drop_efficiency_std",
+    "winner_rate_std",
+    "general_error_rate_std",
+    "dink_error_rate_std",
+    "drop_preference_rate_mean",
+    "net_game_preference_rate_mean",
+]
+FINAL_REPORT_FEATURES = [
+    "aggression_mean",
+    "drop_efficiency_mean",
+    "drop_usage_rate",
+    "error_to_winner_ratio",
+    "drop_preference_rate_mean",
+    "net_game_preference_rate_mean",
+    "aggression_std",
+    "general_error_rate_std",
+    "dink_error_rate_std",
+]
+# K selection with given starts: seed, number of Lloyd steps, smallest and largest K.
+SEED, STABILITY_SEEDS, STEPS, K_MIN, K_MAX = 42, [1, 7, 21, 42, 100], 3, 2, 5
+MIN_SHARE = 0.8
 
 DIGITS = 8
 
@@ -335,6 +405,225 @@ TABLES["final"] = (
 )
 
 
+TABLES["rated_with_missing"] = (
+    ["profiles", "nation"],
+    "SELECT profiles.* REPLACE (CASE WHEN nation <> 0 THEN drop_efficiency_mean END AS drop_efficiency_mean)"
+    " FROM profiles JOIN nation USING (player_id)",
+)
+TABLES["scored_with_missing"] = (
+    ["rated_with_missing"],
+    TABLES["scored"][1].replace("profiles", "rated_with_missing"),
+)
+
+# ---- principal components ---------------------------------------------------
+
+_N = len(PLAYSTYLE_FEATURES)
+
+# Covariances as one list, row by row, then one component after another: the power of the matrix
+# by repeated squaring tends to the outer product of its first eigenvector, which is taken away.
+TABLES["matrix"] = (
+    ["scaled_style"],
+    "SELECT ["
+    + ", ".join(f"covar_pop({a}, {b})" for a in PLAYSTYLE_FEATURES for b in PLAYSTYLE_FEATURES)
+    + "] AS m, ["
+    + ", ".join(f"avg({f})" for f in PLAYSTYLE_FEATURES)
+    + "] AS means FROM scaled_style",
+)
+
+
+def _trace(m: str) -> str:
+    return "(" + " + ".join(f"{m}[{_N * i + i + 1}]" for i in range(_N)) + ")"
+
+
+_SQUARINGS = 30
+_PRODUCT = (
+    f"list_transform(range({_N * _N}), lambda ij: list_sum(list_transform(range({_N}), lambda q:"
+    f" p[(ij // {_N}) * {_N} + q + 1] * p[q * {_N} + ij % {_N} + 1])))"
+)
+_DIAGONAL = "[" + ", ".join(f"p[{_N * i + i + 1}]" for i in range(_N)) + "]"
+_COLUMN = f"list_transform(range({_N}), lambda i: p[i * {_N} + list_position({_DIAGONAL}, list_max({_DIAGONAL}))])"
+
+TABLES["powers"] = (
+    ["matrix"],
+    f"""SELECT 0 AS component, 0 AS step, m, m AS p, CAST(NULL AS DOUBLE[]) AS v, CAST(NULL AS DOUBLE) AS variance
+FROM matrix
+UNION ALL
+SELECT CASE WHEN step < {_SQUARINGS} THEN component ELSE component + 1 END,
+  CASE WHEN step < {_SQUARINGS} THEN step + 1 ELSE 0 END,
+  CASE WHEN step < {_SQUARINGS} THEN m ELSE rest END,
+  CASE WHEN step < {_SQUARINGS} THEN list_transform(square, lambda x: x / {_trace("square")}) ELSE rest END,
+  CASE WHEN step < {_SQUARINGS} THEN NULL ELSE unit END,
+  CASE WHEN step < {_SQUARINGS} THEN NULL ELSE found END
+FROM (SELECT *, list_transform(range({_N * _N}), lambda ij:
+        m[ij + 1] - found * unit[ij // {_N} + 1] * unit[ij % {_N} + 1]) AS rest
+  FROM (SELECT *, list_sum(list_transform(range({_N * _N}), lambda ij:
+          unit[ij // {_N} + 1] * m[ij + 1] * unit[ij % {_N} + 1])) AS found
+    FROM (SELECT *, list_transform(col, lambda x: x / sqrt(list_sum(list_transform(col, lambda y: y * y)))) AS unit
+      FROM (SELECT component, step, m, p, {_PRODUCT} AS square, {_COLUMN} AS col
+        FROM powers WHERE component < {_N}))))
+WHERE {_trace("m")} > 1e-9""",
+)
+
+TABLES["eigen"] = (
+    ["powers"],
+    f"""SELECT component, list_transform(v, lambda x: x * sign(v[list_position(
+    list_transform(v, lambda y: abs(y)), list_max(list_transform(v, lambda y: abs(y))))])) AS v,
+  variance / total AS share,
+  coalesce(sum(variance / total) OVER (ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    < {MIN_SHARE} AS kept
+FROM powers, (SELECT {_trace("m")} AS total FROM matrix) WHERE v IS NOT NULL""",
+)
+
+TABLES["component_points"] = (
+    ["scaled_style", "eigen", "matrix"],
+    f"""SELECT player_id, skill_group AS grp, list(score ORDER BY component) AS x
+FROM (SELECT player_id, skill_group, component, list_sum(list_transform(range({_N}), lambda i:
+    (z[i + 1] - means[i + 1]) * v[i + 1])) AS score
+  FROM (SELECT player_id, skill_group, [{", ".join(PLAYSTYLE_FEATURES)}] AS z FROM scaled_style), eigen, matrix
+  WHERE kept)
+GROUP BY player_id, skill_group""",
+)
+
+# ---- K-Means from given starts, one pair of expressions a step --------------
+
+
+def _k_means(name: str, points: str, seeds: list[int]) -> None:
+    """Tables {name}_labels (player_id, grp, seed, k, label, d) and {name}_runs with silhouettes."""
+    starts = ", ".join(
+        f"({seed}, {k}, {j}, {(0.5 + seed / 200) * (2 * j / (k - 1) - 1)!r}::DOUBLE)"
+        for seed in seeds
+        for k in range(K_MIN, K_MAX + 1)
+        for j in range(k)
+    )
+    TABLES[f"{name}_centres_0"] = (
+        [points],
+        f"""SELECT grp, seed, k, cluster, list_transform(range(n), lambda i: c) AS c
+FROM (SELECT grp, min(len(x)) AS n, count(*) AS players FROM {points} GROUP BY grp),
+  (VALUES {starts}) AS t(seed, k, cluster, c) WHERE k < players""",
+    )
+    for step in range(STEPS + 1):
+        centres = f"{name}_centres_{step}"
+        if step == STEPS:
+            # Clusters are numbered by their centres.
+            TABLES[f"{name}_final"] = (
+                [centres],
+                f"SELECT grp, seed, k, c, CAST(row_number() OVER (PARTITION BY grp, seed, k ORDER BY c) - 1"
+                f" AS integer) AS cluster FROM {centres}",
+            )
+            centres = f"{name}_final"
+        nearest = f"{name}_labels" if step == STEPS else f"{name}_nearest_{step}"
+        TABLES[nearest] = (
+            [centres, points],
+            f"""SELECT player_id, grp, seed, k, arg_min(cluster, list_distance(x, c)) AS label,
+  min(list_distance(x, c)) AS d
+FROM {points} JOIN {centres} USING (grp) GROUP BY player_id, grp, seed, k""",
+        )
+        if step < STEPS:
+            TABLES[f"{name}_centres_{step + 1}"] = (
+                [nearest, points],
+                f"""SELECT grp, seed, k, cluster, list(a ORDER BY i) AS c
+FROM (SELECT grp, seed, k, cluster, i, avg(v) AS a
+  FROM (SELECT l.grp, seed, k, label AS cluster, unnest(x) AS v, unnest(range(len(x))) AS i
+    FROM {nearest} l JOIN {points} USING (player_id))
+  GROUP BY ALL)
+GROUP BY grp, seed, k, cluster""",
+            )
+    TABLES[f"{name}_runs"] = (
+        [f"{name}_labels", points],
+        f"""SELECT grp, seed, k, clusters, silhouette, cost,
+  row_number() OVER (PARTITION BY grp, seed ORDER BY silhouette DESC, k) = 1 AS selected
+FROM (SELECT grp, seed, k, CAST(count(DISTINCT own) AS integer) AS clusters,
+    avg(CASE WHEN size = 1 THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)
+      AS silhouette
+  FROM (SELECT grp, seed, k, id, own, max(n) FILTER (other = own) AS size,
+      max(total / greatest(n - 1, 1)) FILTER (other = own) AS a,
+      min(total / n) FILTER (other <> own) AS b
+    FROM (SELECT p.grp, l.seed, l.k, p.id, mine.label AS own, l.label AS other, count(*) AS n, sum(p.d) AS total
+      FROM (SELECT p.grp, p.player_id AS id, q.player_id AS other, list_distance(p.x, q.x) AS d
+        FROM {points} p JOIN {points} q USING (grp)) p
+      JOIN {name}_labels l ON l.player_id = p.other
+      JOIN {name}_labels mine ON mine.player_id = p.id AND mine.seed = l.seed AND mine.k = l.k
+      GROUP BY ALL)
+    GROUP BY ALL)
+  GROUP BY grp, seed, k)
+JOIN (SELECT grp, seed, k, sum(d * d) AS cost FROM {name}_labels GROUP BY ALL) USING (grp, seed, k)""",
+    )
+
+
+TABLES["skill_points"] = (
+    ["clustering"],
+    f"SELECT player_id, 'all' AS grp, [{', '.join(SKILL_FEATURES)}] AS x FROM clustering",
+)
+_k_means("skill", "skill_points", [SEED])
+_k_means("style", "component_points", [SEED])
+_k_means("stable", "component_points", STABILITY_SEEDS)
+
+_RUN_COLUMNS = ("silhouette", "cost")
+
+# Agreement of every seed's chosen labels with those of the first seed, by the pairs of players.
+TABLES["stable_chosen"] = (
+    ["stable_runs"],
+    f"""SELECT c.*, c.k <> f.k AS k_differs, c.k = f.k AND c.seed <> {STABILITY_SEEDS[0]} AS compared
+FROM stable_runs c JOIN (SELECT grp, k FROM stable_runs WHERE selected AND seed = {STABILITY_SEEDS[0]}) f USING (grp)
+WHERE selected""",
+)
+TABLES["stable_cells"] = (
+    ["stable_chosen", "stable_labels"],
+    f"""SELECT c.grp, c.seed, f.label AS a, l.label AS b, CAST(count(*) AS double) AS n
+FROM stable_chosen c JOIN stable_labels l ON l.grp = c.grp AND l.seed = c.seed AND l.k = c.k
+JOIN stable_labels f ON f.player_id = l.player_id AND f.seed = {STABILITY_SEEDS[0]} AND f.k = c.k
+WHERE c.compared GROUP BY ALL""",
+)
+TABLES["stable_agreement"] = (
+    ["stable_cells"],
+    """SELECT grp, seed, CASE WHEN (in_a + in_b) / 2 - in_a * in_b / everything = 0 THEN 1.0
+  ELSE (both_in - in_a * in_b / everything) / ((in_a + in_b) / 2 - in_a * in_b / everything) END AS ari
+FROM (SELECT grp, seed, sum(n * (n - 1) / 2) AS both_in, sum(n) * (sum(n) - 1) / 2 AS everything
+    FROM stable_cells GROUP BY ALL)
+JOIN (SELECT grp, seed, sum(n * (n - 1) / 2) AS in_a
+    FROM (SELECT grp, seed, a, sum(n) AS n FROM stable_cells GROUP BY ALL) GROUP BY ALL) USING (grp, seed)
+JOIN (SELECT grp, seed, sum(n * (n - 1) / 2) AS in_b
+    FROM (SELECT grp, seed, b, sum(n) AS n FROM stable_cells GROUP BY ALL) GROUP BY ALL) USING (grp, seed)""",
+)
+
+# ---- the whole analysis: the same tables over groups and styles that were found -------------
+
+_FOUND = [
+    "residuals", "scaled_style", "matrix", "powers", "eigen", "component_points", "centroids",
+    "traits", "nouns", "evidence", "archetypes", "final", "grouped", "styled",
+]
+
+
+def _found(text: str) -> str:
+    return re.sub(r"\b(" + "|".join(_FOUND) + r")\b", r"found_\1", text)
+
+
+for _name in _FOUND[:-2]:
+    _needs, _sql = TABLES[_name]
+    TABLES[_found(_name)] = ([_found(n) for n in _needs], _found(_sql))
+_k_means("found_style", "found_component_points", [SEED])
+
+TABLES["found_grouped"] = (
+    ["skill_labels", "skill_runs", "scored", "nation"],
+    """SELECT player_id, skill_score, skill_cluster, CASE
+    WHEN n IN (2, 3) AND position = 1 THEN 'Developing / Lower-Performance'
+    WHEN n IN (2, 3) AND position = n THEN 'Higher-Performance'
+    WHEN n = 3 THEN 'Intermediate-Performance'
+    ELSE 'Performance Group ' || position END AS skill_group
+FROM (SELECT player_id, label AS skill_cluster FROM skill_labels JOIN skill_runs USING (grp, seed, k) WHERE selected)
+JOIN scored USING (player_id)
+JOIN (SELECT skill_cluster, count(*) OVER () AS n, row_number() OVER (ORDER BY points, skill_cluster) AS position
+  FROM (SELECT label AS skill_cluster, avg(rally_points) AS points
+    FROM skill_labels JOIN skill_runs USING (grp, seed, k) JOIN nation USING (player_id)
+    WHERE selected GROUP BY label)) USING (skill_cluster)""",
+)
+TABLES["found_styled"] = (
+    ["found_scaled_style", "found_style_labels", "found_style_runs"],
+    """SELECT s.*, label AS playstyle_cluster FROM found_scaled_style s
+JOIN found_style_labels l USING (player_id) JOIN found_style_runs r USING (grp, seed, k) WHERE selected""",
+)
+
+
 def with_tables(wanted: list[str], select: str) -> str:
     order: list[str] = []
 
@@ -347,7 +636,7 @@ def with_tables(wanted: list[str], select: str) -> str:
     for name in wanted:
         visit(name)
     parts = ",\n".join(f"{name} AS MATERIALIZED (\n{TABLES[name][1]}\n)" for name in order)
-    return f"WITH {parts}\n{select}" if parts else select
+    return f"WITH RECURSIVE {parts}\n{select}" if parts else select
 
 
 def _distance(center: float) -> str:
@@ -378,6 +667,45 @@ def _pairs(n: str) -> str:
 
 _GROUPED = "skill_score, skill_cluster, skill_group"
 
+# ---- parameters fitted on players with even ids, applied to all -------------
+
+_EVEN = "player_id % 2 = 0"
+
+TABLES["even_scored"] = (
+    ["profiles"],
+    f"""SELECT player_id,
+  round_even((({_normalised(_METRICS[0])}) * CAST(0.25 AS double)
+    + ({_normalised(_METRICS[1])}) * CAST(0.30 AS double)
+    + (1.0 - ({_normalised(_METRICS[2])})) * CAST(0.20 AS double)
+    + (1.0 - ({_normalised(_METRICS[3])})) * CAST(0.25 AS double)) * 100.0 * 100.0, 0) / 100.0 AS skill_score
+FROM profiles, (SELECT {each(_METRICS, "min({c}) AS lo_{c}, max({c}) AS hi_{c}")} FROM profiles WHERE {_EVEN})""",
+)
+TABLES["even_scaled"] = (
+    ["oriented"],
+    _z(SKILL_FEATURES, "oriented").removesuffix("FROM oriented)") + f"FROM oriented WHERE {_EVEN})",
+)
+TABLES["even_residuals"] = (
+    ["grouped", "style"],
+    TABLES["residuals"][1].replace(
+        "FROM grouped JOIN style USING (player_id) GROUP BY",
+        f"FROM grouped JOIN style USING (player_id) WHERE {_EVEN} GROUP BY",
+    ),
+)
+_styles = "player_id, skill_score, skill_cluster, skill_group"
+TABLES["even_scaled_style"] = (
+    ["even_residuals"],
+    _z(PLAYSTYLE_FEATURES, "even_residuals", _styles).removesuffix("FROM even_residuals)")
+    + f"FROM even_residuals WHERE {_EVEN})",
+)
+_PCA = ["scaled_style", "matrix", "powers", "eigen", "component_points"]
+for _name in _PCA[1:]:
+    _needs, _sql = TABLES[_name]
+    _sql = re.sub(r"\b(" + "|".join(_PCA) + r")\b", r"even_\1", _sql)
+    TABLES[f"even_{_name}"] = (
+        [f"even_{n}" for n in _needs],
+        _sql + f" WHERE {_EVEN}" if _name == "matrix" else _sql,
+    )
+
 ORACLE_SQL: dict[str, str] = {
     "match_features": with_tables(
         ["rates"],
@@ -390,6 +718,27 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "skill_scores": with_tables(["scored"], "SELECT player_id, skill_score FROM scored"),
     "skill_tiers": with_tables(["scored"], "SELECT player_id, skill_score, skill_tier FROM scored"),
+    "skill_tiers_with_missing": with_tables(
+        ["scored_with_missing"], "SELECT player_id, skill_score, skill_tier FROM scored_with_missing"
+    ),
+    "one_group_selection": with_tables(
+        ["style_runs"],
+        "SELECT grp AS skill_group, seed, k, clusters, selected, round(silhouette, 6) + 0.0 AS silhouette,"
+        " round(cost, 6) + 0.0 AS cost FROM style_runs WHERE grp = 'Higher-Performance'",
+    ),
+    "new_player_scores": with_tables(
+        ["even_scored", "even_scaled"],
+        f"""SELECT player_id, skill_score, {rounded(SKILL_FEATURES)},
+  CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS integer) AS cluster
+FROM (SELECT *, {_distance(-0.5)} AS d0, {_distance(0.0)} AS d1, {_distance(0.5)} AS d2 FROM even_scaled)
+JOIN even_scored USING (player_id)""",
+    ),
+    "new_player_components": with_tables(
+        ["even_component_points"],
+        """SELECT player_id, component, round(score, 6) + 0.0 AS score
+FROM (SELECT player_id, unnest(x) AS score, unnest(range(1, len(x) + 1))::INTEGER AS component
+  FROM even_component_points)""",
+    ),
     "skill_summary": with_tables(
         ["scored"],
         f"""SELECT count(*) AS players, {r("avg(skill_score)", "average_skill_score")},
@@ -471,6 +820,54 @@ FROM scaled""",
         ["clustering"],
         f"""SELECT player_id, {rounded(["skill_score", *SKILL_FEATURES])}
 FROM clustering ORDER BY player_id LIMIT 5""",
+    ),
+    "skill_k_selection": with_tables(
+        ["skill_runs"],
+        f"SELECT seed, k, clusters, selected, {rounded(_RUN_COLUMNS)} FROM skill_runs",
+    ),
+    "skill_clusters": with_tables(
+        ["skill_runs", "skill_labels"],
+        """SELECT label AS skill_cluster, count(*) AS players
+FROM skill_labels JOIN skill_runs USING (grp, seed, k) WHERE selected GROUP BY label""",
+    ),
+    "playstyle_components": with_tables(
+        ["component_points"],
+        """SELECT player_id, component, round(score, 6) + 0.0 AS score
+FROM (SELECT player_id, unnest(x) AS score, unnest(range(1, len(x) + 1))::INTEGER AS component
+  FROM component_points)""",
+    ),
+    "playstyle_loadings": with_tables(
+        ["eigen", "matrix"],
+        f"""SELECT component, ['{"', '".join(PLAYSTYLE_FEATURES)}'][i] AS feature, round(v[i], 6) + 0.0 AS loading,
+  round(means[i], 6) + 0.0 AS mean, round(share, 6) + 0.0 AS explained_share
+FROM (SELECT component, v, share, means, unnest(range(1, {_N + 1})) AS i FROM eigen, matrix WHERE kept)""",
+    ),
+    "playstyle_k_selection": with_tables(
+        ["style_runs"],
+        "SELECT grp AS skill_group, seed, k, clusters, selected, round(silhouette, 6) + 0.0 AS silhouette,"
+        " round(cost, 6) + 0.0 AS cost FROM style_runs",
+    ),
+    "playstyle_stability": with_tables(
+        ["stable_chosen", "stable_agreement"],
+        """SELECT grp AS skill_group, seed, k, k_differs, round(silhouette, 6) + 0.0 AS silhouette,
+  round(ari, 6) + 0.0 AS ari, runs, most_common_k, most_common_count,
+  round(average_silhouette, 6) + 0.0 AS average_silhouette, round(silhouette_std, 6) + 0.0 AS silhouette_std
+FROM stable_chosen LEFT JOIN stable_agreement USING (grp, seed)
+JOIN (SELECT grp, count(*) AS runs, avg(silhouette) AS average_silhouette,
+    stddev_pop(silhouette) AS silhouette_std FROM stable_chosen GROUP BY grp) USING (grp)
+JOIN (SELECT grp, k AS most_common_k, n AS most_common_count
+  FROM (SELECT grp, k, count(*) AS n, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, k) AS place
+    FROM stable_chosen GROUP BY grp, k) WHERE place = 1) USING (grp)""",
+    ),
+    "player_archetypes": with_tables(
+        ["found_final"],
+        f"""SELECT player_id, skill_group, skill_cluster, playstyle_cluster, playstyle_archetype,
+  {rounded(["skill_score", *PLAYSTYLE_FEATURES])} FROM found_final""",
+    ),
+    "playstyle_clusters": with_tables(
+        ["style_runs", "style_labels"],
+        """SELECT grp AS skill_group, label AS playstyle_cluster, count(*) AS players
+FROM style_labels JOIN style_runs USING (grp, seed, k) WHERE selected GROUP BY grp, label""",
     ),
     "nearest_centre": with_tables(
         ["scaled"],

@@ -7,7 +7,6 @@ SQL, so that the comparison does not depend on random starts.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from courtlens.operators import (
     agreement,
     components,
     features,
+    fitted,
     naming,
     profiles,
     selection,
@@ -25,14 +25,36 @@ from courtlens.operators import (
     summaries,
 )
 from courtlens.plans import player_report
-from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
+from courtlens.functions.naming_rules import DEVELOPING, HIGHER, INTERMEDIATE
+from courtlens.schema import K_MAX, K_MIN, PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
 from courtlens.sources import order_logs
 
 # Sums run in any order, so doubles are compared rounded. Averages of simple fractions are often
 # exact multiples of 1/128 or 1/256; 8 decimals keep those off the rounding edge.
 DIGITS = 8
+# The eigenvectors of the SQL come from powers of the matrix.
+COMPONENT_DIGITS = 6
 STYLE_KEYS = naming.STYLE_KEYS
 
+# Seeds and Lloyd steps of K selection with given starts.
+SEED, STABILITY_SEEDS, STEPS = 42, [1, 7, 21, 42, 100], 3
+GROUP_NAMES = [
+    "all", DEVELOPING, INTERMEDIATE, HIGHER, *[f"Performance Group {i}" for i in range(1, 6)]
+]
+
+
+def fixed_starts(dimensions: int, seeds=(SEED,)) -> dict:
+    """Starting centres on the diagonal, so that every fit is a fixed computation."""
+    return {
+        (group, k, seed): [
+            [(0.5 + seed / 200) * (2 * j / (k - 1) - 1)] * dimensions for j in range(k)
+        ]
+        for group in GROUP_NAMES
+        for seed in seeds
+        for k in range(K_MIN, K_MAX + 1)
+    }
+
+
 # Centres of the nearest-centre query, one value for all ten z-scored features.
 FIXED_CENTRES = [-0.5, 0.0, 0.5]
 
@@ -50,14 +72,12 @@ def _rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     )
 
 
-@cache
-def _profile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.aggregate_player_profiles(order_logs.match_logs(spark, sf_dir))
-
-
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Player profiles, kept because most queries read them more than once."""
-    return _profile_plan(spark, sf_dir).persist()
+    """Player profiles, kept because most queries read them more than once.
+
+    Equal plans share the cached rows; ``spark.catalog.clearCache()`` releases them.
+    """
+    return profiles.aggregate_player_profiles(order_logs.match_logs(spark, sf_dir)).persist()
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +158,8 @@ def _archetypes(styled: DataFrame) -> DataFrame:
 def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
     styled = _styled(spark, sf_dir)
     named = naming.apply_playstyle_archetypes(styled, _archetypes(styled))
-    return player_report.build_final_player_profiles(named, _style(spark, sf_dir))
+    by_group = [named.filter(F.col("skill_group") == g) for g in (DEVELOPING, HIGHER)]
+    return player_report.build_final_player_profiles(by_group, _style(spark, sf_dir))
 
 
 def _exploded(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,6 +189,14 @@ def skill_tiers(spark, sf_dir):
     return _scored(spark, sf_dir).select(PLAYER, "skill_score", "skill_tier")
 
 
+def skill_tiers_with_missing(spark, sf_dir):
+    """A metric of some players is 0 / 0, which is NaN: they have no score, others keep theirs."""
+    profiles = _profiles(spark, sf_dir).join(_nation(spark, sf_dir), PLAYER)
+    rate = F.when(F.col("nation") == 0, F.lit(float("nan"))).otherwise(F.col("drop_efficiency_mean"))
+    scored = skill.build_skill_model(profiles.withColumn("drop_efficiency_mean", rate))
+    return scored.select(PLAYER, "skill_score", "skill_tier")
+
+
 def skill_summary(spark, sf_dir):
     return _rounded(summaries.skill_summary(_scored(spark, sf_dir)))
 
@@ -233,15 +262,19 @@ def clustering_samples(spark, sf_dir):
     return _rounded(summaries.clustering_samples(_clustering_data(spark, sf_dir)))
 
 
-def skill_k_selection(spark, sf_dir):
+def _skill_selection(spark, sf_dir):
     data = _clustering_data(spark, sf_dir)
-    best_k, sweep = selection.select_skill_k(data)
+    starts = fixed_starts(len(SKILL_FEATURES))
+    return data, *selection.select_skill_k(data, starts=starts, max_iter=STEPS)
+
+
+def skill_k_selection(spark, sf_dir):
+    data, _, sweep = _skill_selection(spark, sf_dir)
     return _rounded(sweep.results(data).drop("skill_group"))
 
 
 def skill_clusters(spark, sf_dir):
-    data = _clustering_data(spark, sf_dir)
-    best_k, sweep = selection.select_skill_k(data)
+    data, best_k, sweep = _skill_selection(spark, sf_dir)
     clustered, _ = selection.cluster_skill_groups(data, best_k, sweep=sweep)
     return selection.cluster_sizes(clustered, ["skill_cluster"])
 
@@ -334,11 +367,18 @@ def playstyle_covariance(spark, sf_dir):
 
 
 def playstyle_components(spark, sf_dir):
-    return _rounded(components.extract_playstyle_components(_scaled_style(spark, sf_dir))[0])
+    """One row per player and component; how many there are depends on the data."""
+    scores = components.extract_playstyle_components(_scaled_style(spark, sf_dir))[0]
+    names = [c for c in scores.columns if c != PLAYER]
+    listed = scores.select(PLAYER, F.posexplode(F.array(*names)).alias("at", "score"))
+    return _rounded(
+        listed.select(PLAYER, (F.col("at") + 1).alias("component"), "score"), COMPONENT_DIGITS
+    )
 
 
 def playstyle_loadings(spark, sf_dir):
-    return _rounded(components.extract_playstyle_components(_scaled_style(spark, sf_dir))[1])
+    loadings = components.extract_playstyle_components(_scaled_style(spark, sf_dir))[1]
+    return _rounded(loadings, COMPONENT_DIGITS)
 
 
 def playstyle_clustering_input(spark, sf_dir):
@@ -351,22 +391,73 @@ def _component_input(spark, sf_dir):
     return fitted.add_to(data), fitted.names
 
 
-def playstyle_k_selection(spark, sf_dir):
+def _style_selection(spark, sf_dir):
     data, names = _component_input(spark, sf_dir)
-    _, _, sweep = selection.select_playstyle_k(data, features=names)
-    return _rounded(sweep.results(data))
+    found = selection.select_playstyle_k(
+        data, features=names, starts=fixed_starts(len(names)), max_iter=STEPS
+    )
+    return *found, names
+
+
+def playstyle_k_selection(spark, sf_dir):
+    data, _, sweep, _ = _style_selection(spark, sf_dir)
+    return _rounded(sweep.results(data), COMPONENT_DIGITS)
 
 
 def playstyle_clusters(spark, sf_dir):
-    data, names = _component_input(spark, sf_dir)
-    group_data, best_k, sweep = selection.select_playstyle_k(data, features=names)
+    group_data, best_k, sweep, names = _style_selection(spark, sf_dir)
     return selection.cluster_playstyles(group_data, best_k, features=names, sweep=sweep)[2]
 
 
+def one_group_selection(spark, sf_dir):
+    """K selection of a single skill group."""
+    data, names = _component_input(spark, sf_dir)
+    group_data, best_k, sweep = selection.select_playstyle_k(
+        data, HIGHER, features=names, starts=fixed_starts(len(names)), max_iter=STEPS
+    )
+    return _rounded(sweep.results(group_data), COMPONENT_DIGITS)
+
+
+def _even(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(PLAYER) % 2 == 0)
+
+
+def new_player_scores(spark, sf_dir):
+    """Bounds, scaler and centres fitted on players with even ids, applied to all."""
+    profiles, oriented = _profiles(spark, sf_dir), _oriented(spark, sf_dir)
+    scored = fitted.apply_skill_bounds(profiles, fitted.skill_bounds(_even(profiles)))
+    scaler = features.standardize(_even(oriented), SKILL_FEATURES)[1]
+    scaled = fitted.apply_scaler(oriented, scaler, SKILL_FEATURES)
+    centres = spark.createDataFrame(
+        [("all", i, *[c] * len(SKILL_FEATURES)) for i, c in enumerate(FIXED_CENTRES)],
+        "grp string, cluster int, " + ", ".join(f"{f} double" for f in SKILL_FEATURES),
+    )
+    assigned = fitted.apply_centres(scaled, centres, SKILL_FEATURES, "cluster")
+    return _rounded(assigned.join(scored.select(PLAYER, "skill_score"), PLAYER))
+
+
+def new_player_components(spark, sf_dir):
+    """Lines, scaler and loadings fitted on players with even ids, applied to all."""
+    grouped = _grouped(spark, sf_dir, _scored(spark, sf_dir).select(PLAYER, "skill_score"))
+    joined = grouped.join(_style(spark, sf_dir), PLAYER).persist()
+    residuals = fitted.apply_residual_lines(joined, fitted.residual_lines(_even(joined)))
+    scaler = features.standardize(_even(residuals), PLAYSTYLE_FEATURES)[1]
+    scaled = fitted.apply_scaler(residuals, scaler, PLAYSTYLE_FEATURES).persist()
+    _, loadings, _ = components.extract_playstyle_components(_even(scaled))
+    scores = fitted.apply_loadings(scaled, loadings)
+    listed = scores.select(PLAYER, F.posexplode("components").alias("at", "score"))
+    return _rounded(
+        listed.select(PLAYER, (F.col("at") + 1).alias("component"), "score"), COMPONENT_DIGITS
+    )
+
+
 def playstyle_stability(spark, sf_dir):
     data, names = _component_input(spark, sf_dir)
-    runs, summary = selection.playstyle_stability(data, features=names)
-    return _rounded(runs.join(summary, "skill_group"))
+    starts = fixed_starts(len(names), STABILITY_SEEDS)
+    runs, summary = selection.playstyle_stability(
+        data, random_states=STABILITY_SEEDS, features=names, starts=starts, max_iter=STEPS
+    )
+    return _rounded(runs.join(summary, "skill_group"), COMPONENT_DIGITS)
 
 
 def playstyle_centroids(spark, sf_dir):
@@ -422,9 +513,13 @@ def final_profile_samples(spark, sf_dir):
 
 
 def player_archetypes(spark, sf_dir):
-    """The whole analysis with discovered groups and styles."""
+    """The whole analysis with groups and styles found from given starts."""
     report = player_report.player_report(
-        order_logs.match_logs(spark, sf_dir), order_logs.rally_points(spark, sf_dir)
+        order_logs.match_logs(spark, sf_dir),
+        order_logs.rally_points(spark, sf_dir),
+        skill_starts=fixed_starts(len(SKILL_FEATURES)),
+        style_starts=fixed_starts,
+        max_iter=STEPS,
     )
     return _rounded(report.drop("playstyle_traits"))
 
@@ -436,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         player_profiles,
         skill_scores,
         skill_tiers,
+        skill_tiers_with_missing,
         skill_summary,
         tier_counts,
         skill_profile_samples,
@@ -468,6 +564,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         playstyle_clustering_input,
         playstyle_k_selection,
         playstyle_clusters,
+        one_group_selection,
+        new_player_scores,
+        new_player_components,
         playstyle_stability,
         playstyle_centroids,
         playstyle_cluster_profiles,

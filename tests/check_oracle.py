@@ -3,6 +3,7 @@
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -60,6 +61,7 @@ if __name__ == "__main__":
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

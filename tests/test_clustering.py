@@ -103,10 +103,9 @@ def test_result_does_not_depend_on_partitioning(spark, monkeypatch):
     df = frame(spark, x)
     (one,), _ = fit(df.coalesce(1), XY, {ALL: [4]})
     monkeypatch.setattr("courtlens.operators.points.POINTS_PER_TASK", 20)
-    monkeypatch.setattr(kmeans, "DRIVER_ROWS", 1)  # partial results go through a shuffle
     monkeypatch.setattr(kmeans, "CHUNK_CELLS", 64)
     (many,), points = fit(df.repartition(7), XY, {ALL: [4]})
-    assert points.partitions > 1
+    assert points.frame.select(F.spark_partition_id()).distinct().count() > 1
     assert np.allclose(one.centres, many.centres) and one.cost == pytest.approx(many.cost)
 
 
@@ -150,10 +149,11 @@ def test_emptied_centre_moves_to_the_farthest_point(spark):
     assert spot.tolist() == [[50.1, 0.0]]
 
 
-@pytest.mark.parametrize("block", [1024, 40])
-def test_silhouette_matches_definition(spark, monkeypatch, block):
-    monkeypatch.setattr(silhouette_module, "MIN_BLOCK", block)
+@pytest.mark.parametrize(("block", "column", "dense"), [(1024, 10**6, 512), (40, 35, 512), (40, 35, 2)])
+def test_silhouette_matches_definition(spark, monkeypatch, block, column, dense):
     monkeypatch.setattr(silhouette_module, "MAX_BLOCK", block)
+    monkeypatch.setattr(silhouette_module, "MAX_COLUMN", column)
+    monkeypatch.setattr(silhouette_module, "DENSE_CLUSTERS", dense)
     monkeypatch.setattr(silhouette_module, "TILE", 17)
     rng = np.random.default_rng(8)
     x = rng.normal(size=(200, 2))
@@ -173,6 +173,83 @@ def test_silhouette_matches_definition(spark, monkeypatch, block):
     assert whole.silhouette == pytest.approx(brute_silhouette(x, two), abs=1e-9)
 
 
+def test_silhouette_far_from_zero(spark):
+    x, truth = blobs([(0, 0), (2, 1)], n=60, spread=0.9)
+    far = x + 1e8
+    df = frame(spark, far, truth=truth.tolist())
+    got = silhouette(df, XY, ["truth"]).first().silhouette
+    assert got == pytest.approx(brute_silhouette(far, truth), abs=1e-9)
+    (model,), points = fit(df, XY, {ALL: [2]})
+    assert len(model.centres) == 2 and model.cost == pytest.approx(cost(far, model.centres), rel=1e-6)
+    assert points.groups[ALL].mean_variance == pytest.approx(far.var(0).mean(), rel=1e-6)
+    assert assign_clusters(df, XY, [model], "cluster").select("cluster").distinct().count() == 2
+
+
+def test_more_clusters_than_fit_in_one_table(spark):
+    """50,100 clusters: nothing raises, and pairs of close points score as the definition says."""
+    n = 50_100
+    x = spark.range(n).select(F.col("id").cast("int").alias("label"), (F.col("id") * 10.0).alias("x"))
+    pairs = x.filter("label < 100").withColumn("x", F.col("x") + 1.0)
+    row = silhouette(x.unionByName(pairs), ["x"], ["label"]).first()
+    # A pair's distance is 1; the next cluster is 9, 9.5 or 10 away, or a pair's mean of these.
+    def score(i, second):
+        at = 10.0 * i + second
+        others = [(abs(at - 10.0 * j) + (abs(at - 10.0 * j - 1) if j < 100 else abs(at - 10.0 * j))) / 2 for j in (i - 1, i + 1) if j >= 0]
+        return 1 - 1 / min(others)
+
+    want = sum(score(i, s) for i in range(100) for s in (0.0, 1.0)) / (n + 100)
+    assert row.clusters == n and row.silhouette == pytest.approx(want, abs=1e-9)
+
+
+def test_a_point_travels_once_per_row_and_column(spark):
+    points = pack_points(frame(spark, np.random.default_rng(1).normal(size=(500, 2)), team=["a", "b"] * 250), XY, "team")
+    labelled = points.frame.withColumn("labels", F.array(F.lit(0)))
+    grids = silhouette_module.plan_grid({"a": 250, "b": 250}, {"a": 3, "b": 900}, tasks=40)
+    copies = silhouette_module.cell_copies(labelled, points.axes, grids).cache()
+    points.release()
+    assert copies.count() == sum(250 * (g.rows + g.columns) for g in grids.values())
+    assert grids["a"].rows > 1 and grids["a"].columns > 1 and grids["b"].columns == 1
+    # Each cell pairs one row block with one column: all pairs of a group meet once.
+    met = copies.filter("role = 0").alias("x").join(copies.filter("role = 1").alias("y"), "cell")
+    assert met.count() == 2 * 250 * 250
+    # A larger group gets cells by the square root of the tasks, not a copy per task.
+    big = silhouette_module.plan_grid({"all": 5_000_000}, {"all": 70}, tasks=2000)["all"]
+    assert big.rows * big.columns >= 2000 and big.rows + big.columns < 150
+
+
+def test_players_all_alike_are_one_style(spark):
+    rng = np.random.default_rng(2)
+    df = frame(spark, np.concatenate([rng.normal(size=(12, 2)), np.ones((6, 2))]), skill_group=["a"] * 12 + ["same"] * 6)
+    data, best, sweep = select_playstyle_k(df, features=XY)
+    assert set(best) == {"a"}
+    clustered, _, _ = cluster_playstyles(data, best, features=XY, sweep=sweep)
+    assert clustered.filter("skill_group = 'same' and playstyle_cluster = 0").count() == 6
+
+
+def test_given_starts_are_plain_lloyd_steps(spark):
+    x, _ = blobs([(0, 0), (3, 0), (0, 3)], n=40, spread=1.0)
+    starts = {(ALL, 2, 7): [[5.0, 5.0], [-1.0, 0.0]], (ALL, 3, 7): x[:3].tolist()}
+    models, _ = fit(frame(spark, x), XY, {ALL: [2, 3]}, seeds=[7], starts=starts, max_iter=4, tol=0.0)
+    for m in models:
+        c = np.array(starts[(ALL, m.k, 7)])
+        for _ in range(4):
+            nearest = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            c = np.array([x[nearest == j].mean(0) for j in range(m.k)])
+        assert np.allclose(sorted(map(tuple, c)), m.centres)
+    with pytest.raises(ValueError, match="starting centres"):
+        fit(frame(spark, x), XY, {ALL: [4]}, starts=starts)
+
+
+def test_models_are_batched_by_k_and_seed(spark, monkeypatch):
+    x, _ = blobs([(0, 0), (8, 8)], seed=1)
+    df = frame(spark, x)
+    together, _ = fit(df, XY, {ALL: [2, 3]}, seeds=[1, 2])
+    monkeypatch.setattr(kmeans, "BATCH_CENTRES", 1)
+    apart, _ = fit(df, XY, {ALL: [2, 3]}, seeds=[1, 2])
+    assert [(m.k, m.seed) for m in apart] == [(2, 1), (2, 2), (3, 1), (3, 2)]
+    assert [m.cost for m in apart] == pytest.approx([m.cost for m in together])
+
+
 def test_silhouette_of_one_cluster_is_missing(spark):
     df = frame(spark, np.random.default_rng(9).normal(size=(10, 2)), one=[0] * 10)
     row = silhouette(df, XY, ["one"]).first()
@@ -242,7 +319,7 @@ def test_highest_silhouette_wins_and_ties_go_to_small_k(spark):
 
 def test_too_few_players(spark):
     _, features, _ = skill_frame(spark)
-    with pytest.raises(ValueError, match="Not enough players"):
+    with pytest.raises(ValueError, match="Too few players"):
         select_skill_k(features.limit(2).withColumn("skill_score", F.lit(1.0)))
     small = frame(spark, np.random.default_rng(0).normal(size=(9, 2)), skill_group=["big"] * 7 + ["small"] * 2)
     with pytest.raises(ValueError, match="'small'"):

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from courtlens import OffendingPlayers
 from courtlens.operators.naming import (
     apply_playstyle_archetypes,
     apply_skill_cluster_labels,
@@ -66,6 +67,9 @@ def test_ranking_column_is_checked(spark):
         interpret_skill_clusters(df)
     with pytest.raises(ValueError, match="no 'rally_points'"):
         interpret_skill_clusters(df, "rally_points")
+    nan = df.withColumn("rally_points", F.coalesce("rally_points", F.lit(float("nan"))))
+    with pytest.raises(ValueError, match="no 'rally_points'"):
+        interpret_skill_clusters(nan, "rally_points")
 
 
 def test_trait_threshold_and_identity_fallback(spark):
@@ -168,6 +172,10 @@ def test_final_profiles_and_their_checks(spark):
     hole = raw.withColumn("drop_usage_rate", F.when(F.col("player_id") != "p2", F.col("drop_usage_rate")))
     with pytest.raises(ValueError, match="evidence: p2"):
         build_final_player_profiles(named, hole)
+    nan = raw.withColumn("drop_usage_rate", F.lit(float("nan")))
+    with pytest.raises(OffendingPlayers, match="evidence: p0, p1, p2") as failed:
+        build_final_player_profiles(named, nan)
+    assert {r[0] for r in failed.value.players.collect()} == {"p0", "p1", "p2"}
 
 
 @pytest.fixture(scope="module")
@@ -213,8 +221,19 @@ def test_whole_report(spark, league):
     assert len(set(per_cluster.values())) == len(per_cluster)
 
 
-def test_ratings_must_cover_every_player(spark, league):
+def test_options_reach_their_level(spark, league):
     logs, ratings = league
+    report = player_report(logs, ratings, n_init=2, skip_small=True, min_share=0.5)
+    assert report.count() == 80
+
+
+def test_ratings_must_cover_every_player_once(spark, league):
+    logs, ratings = league
+    with pytest.raises(ValueError, match="two ratings: p00, p01"):
+        find_skill_groups(logs, ratings.union(ratings.filter("player_id < 'p02'")), n_init=1)
+    nan = ratings.withColumn("rally_points", F.lit(float("nan")))
+    with pytest.raises(ValueError, match="rally_points"):
+        find_skill_groups(logs, nan, n_init=1)
     with pytest.raises(ValueError, match="rally_points"):
         find_skill_groups(logs, ratings.limit(10), n_init=1)
 

@@ -151,3 +151,15 @@ def test_reader(spark, micro_logs, tmp_path):
     micro_logs.drop("dink_errors").write.parquet(path + "2")
     with pytest.raises(ValueError, match="dink_errors"):
         read_match_logs(spark, path + "2")
+
+
+def test_nan_is_missing_in_scores_and_tiers(spark):
+    metrics = ["drop_efficiency_mean", "winner_rate_mean", "general_error_rate_mean", "dink_error_rate_mean"]
+    rows = [("a", 0.1, 0.2, 0.3, 0.4), ("b", 0.9, 0.8, 0.1, 0.1), ("c", float("nan"), 0.5, 0.2, 0.2)]
+    df = spark.createDataFrame(rows, "player_id string, " + ", ".join(f"{m} double" for m in metrics))
+    got = {r.player_id: r for r in build_skill_model(df).collect()}
+    assert (got["a"].skill_score, got["a"].skill_tier) == (0.0, "Beginner")
+    assert (got["b"].skill_score, got["b"].skill_tier) == (100.0, "Professional")
+    assert (got["c"].skill_score, got["c"].skill_tier) == (None, "Beginner")
+    nan = spark.createDataFrame([("a", float("nan"))], "player_id string, skill_score double")
+    assert assign_skill_tier(nan).first().skill_tier == "Beginner"
