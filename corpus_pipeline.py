@@ -55,16 +55,12 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     group = F.coalesce(F.col("component_id").cast("string"), F.hex("print"))
     first = store(
         found.groupBy(group.alias("group"))
-        .agg(
-            F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h")).alias("first"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h")).alias("first"))
         .select("first._id", "first._h"),
         "kept_documents",
     )
-    copies = found.join(first, ["_id", "_h"], "left_semi").groupBy("_id", "_h").count()
-    kept = _joined(docs, first, "left_semi")
-    if not copies.filter("count > 1").isEmpty():
+    kept = _joined(docs, first, "left_semi").select("doc.*")
+    if not found.groupBy("_id", "_h").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["_id", "_h"])
     return kept.select("row.*")
 

@@ -51,4 +51,82 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (r)
 """
 
-ORACLE_SQL = {"op4_winnow_decontaminate": OP4, "op10_automaton_substring_dedup": OP10}
+OP2 = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+low AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM low
+"""
+
+# The least draw among the children of one level; path is SQL text, children (child, weight) rows.
+_DRAW = "-ln((('0x' || substr(md5(key || '/' || {path} || child), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
+
+
+def _level(name: str, source: str, path: str, on: str, children: str) -> str:
+    draw = _DRAW.format(path=path)
+    return f"""{name} AS (
+    SELECT {source}.*, best.child AS {name} FROM {source} JOIN (
+        SELECT r, arg_min(child, {draw} / weight) AS child
+        FROM {source} JOIN (VALUES {children}) AS t(parent, child, weight) ON {on} GROUP BY r) best USING (r))"""
+
+
+def _tree(prefix: str, regions: str, racks: str, leaves: str) -> str:
+    """Regions, racks by region and leaves by 10 * region + rack, as (parent, child, weight)."""
+    region, rack, leaf = f"{prefix}_region", f"{prefix}_rack", f"{prefix}_leaf"
+    return ",\n".join(
+        [
+            _level(region, "d", "''", "TRUE", regions),
+            _level(rack, region, f"{region} || '/'", f"parent = {region}", racks),
+            _level(
+                leaf, rack, f"{region} || '/' || {rack} || '/'", f"parent = 10 * {region} + {rack}", leaves
+            ),
+        ]
+    )
+
+
+_RACKS = "(0, 0, 4), (0, 1, 4), (1, 0, 4), (1, 1, 4)"
+_LEAVES = ", ".join(f"({p}, {c}, 1)" for p in (0, 1, 10, 11) for c in range(4))
+
+# CRC-32 over the bytes of each text, with its table made by eight steps of the polynomial.
+_CRC = """
+steps AS (SELECT i, list_reduce([i] || range(8), lambda c, x: CASE WHEN c & 1 = 1
+          THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c FROM range(256) t(i)),
+crcs AS (SELECT list(c ORDER BY i) AS crc FROM steps),
+texts AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents),
+bytes AS (SELECT t, hex(encode(t)) AS h FROM texts),
+sums AS (
+    SELECT t, xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+        lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8))) AS text_crc32
+    FROM bytes, crcs)"""
+
+OP7 = f"""
+WITH {_CRC},
+d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS key,
+           (octet_length(encode(t)) + 1)::BIGINT AS size, text_crc32
+    FROM documents JOIN sums ON t = coalesce(text, '')),
+{_tree("a", "(0, 0, 8), (0, 1, 8)", _RACKS, _LEAVES)},
+{_tree("b", "(0, 0, 8), (0, 1, 8), (0, 2, 1)", _RACKS + ", (2, 0, 1)", _LEAVES + ", (20, 0, 1)")},
+placed AS (
+    SELECT a_leaf.*, 8 * a_region + 4 * a_rack + a_leaf AS shard,
+           8 * b_region + 4 * b_rack + b_leaf AS grown_shard,
+           ('0x' || substr(md5(key || '/' || size || '/' || text_crc32), 1, 13))::BIGINT AS place
+    FROM a_leaf JOIN (SELECT r, b_region, b_rack, b_leaf FROM b_leaf) USING (r))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place, key, size, text_crc32) - 1 AS slot,
+       grown_shard::INTEGER AS grown_shard
+FROM placed
+"""
+
+ORACLE_SQL = {
+    "op2_sharded_warc": OP2,
+    "op4_winnow_decontaminate": OP4,
+    "op7_hash_tree_shards": OP7,
+    "op10_automaton_substring_dedup": OP10,
+}

@@ -1,0 +1,133 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from cases import prose
+
+from courtlens.llm import toxicity
+from courtlens.llm.common import text_buffer
+
+BAD = ["idiot", "moron", "trash", "pathetic", "worthless"]
+HIDDEN = ["1d10t", "i d i o t", "m.o.r.o.n", "mooooron", "tr@sh", "traaaash", "p@thet1c", "w0rthless", "M0R0N", "p a t h e t i c"]
+
+
+def corpus(n=600):
+    rng, rows, labels = random.Random(5), [], []
+    for i in range(n):
+        words = prose(i, 60, vocabulary=900).split()
+        toxic = int(rng.random() < 0.25)
+        if toxic:
+            for _ in range(rng.randint(1, 3)):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        rows.append((i, " ".join(words), "x"))
+        if i % 10:
+            labels.append((i, toxic))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows, labels = corpus()
+    # A planted row each for the ways to hide a word, in otherwise clean text.
+    rows += [(10_000 + i, f"{prose(3000 + i, 40, 900)} {w} {prose(4000 + i, 40, 900)}", "x") for i, w in enumerate(HIDDEN)]
+    rows += [(20_000, None, "x"), (20_001, "", "x"), (None, "null id", "x"), (20_002, "a " * 50_000, "x"), (20_002, "a " * 50_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic string").repartition(4).cache()
+    labels += [(10**6, 1), (None, 1), (1, None)]
+    return docs, spark.createDataFrame(labels, "doc_id bigint, toxic int").cache()
+
+
+def test_held_out_rows_and_hidden_words(tables):
+    docs, labels = tables
+    got = toxicity.score_toxicity(docs, labels).collect()
+    assert len(got) == docs.count()
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None}
+    held = [(r["predicted"], truth[r["_id"]]) for r in got if r["held_out"] and r["_id"] in truth]
+    assert len(held) > 60 and np.mean([p == t for p, t in held]) > 0.97
+    for r in got:
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        if r["_id"] is not None:
+            assert r["held_out"] == (zlib.crc32(str(r["_id"]).encode()) % 5 == 0)
+    hidden = {r["_id"]: r["predicted"] for r in got if r["_id"] is not None and 10_000 <= r["_id"] < 20_000}
+    assert sum(hidden.values()) >= 0.9 * len(HIDDEN)
+    assert all(r["predicted"] == 0 for r in got if r["_id"] in (20_000, 20_001, 20_002, None))
+
+
+def test_held_out_labels_are_not_learned(tables):
+    docs, labels = tables
+    turned = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
+    a, b = ({(str(r["_id"]), r["score"]) for r in toxicity.score_toxicity(docs, x).collect()} for x in (labels, turned))
+    assert a == b
+
+
+def test_carried_rows(tables):
+    docs, labels = tables
+    row = toxicity.score_toxicity(docs, labels, carry=True).filter("_id = 3").first()
+    assert row["_row"]["text"] == prose(3, 60, 900) or row["_row"]["doc_id"] == 3
+
+
+def test_no_labels_and_no_documents(tables):
+    docs, labels = tables
+    assert all(r["score"] < 1e-6 for r in toxicity.score_toxicity(docs, labels.limit(0)).collect())
+    assert toxicity.score_toxicity(docs.limit(0), labels).collect() == []
+
+
+@pytest.fixture(scope="module")
+def model():
+    texts = [t for _, t, _ in corpus(400)[0]] + [" ".join(BAD * 50)]
+    counts = np.zeros(toxicity.CLASSES**3)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["_text"])
+    for part in toxicity._count_trigrams(iter([batch])):
+        counts[part.column(0).to_numpy()] += part.column(1).to_numpy()
+    p = np.full((1, toxicity.CLASSES), 1 / toxicity.CLASSES)
+    for order in range(3):
+        c = counts.reshape(-1, toxicity.CLASSES**order, toxicity.CLASSES).sum(axis=0) + p.repeat(toxicity.CLASSES ** min(order, 1), 0) * 1e-3
+        p = c / c.sum(axis=1, keepdims=True)
+    return np.log(p).reshape((toxicity.CLASSES,) * 3)
+
+
+def slow_restore(seen, model):
+    """Every path of the lattice."""
+    paths = [((), 0.0)]
+    for options in toxicity._lattice(seen.lower()):
+        paths = [((*p, m) if m >= 0 else p, c + x) for p, c in paths for m, x in options]
+
+    def cost(path, channel):
+        classes = [0, 0, *(int(toxicity.BYTE_CLASS[b]) for b in path), 0]
+        return channel - sum(model[a, b, c] for a, b, c in zip(classes, classes[1:], classes[2:]))
+
+    return min(cost(*p) for p in paths), cost
+
+
+@pytest.mark.parametrize("seen", [b"1d10t", b"m00ron", b"a.b.c", b"s s s", b"tr@@sh", b"**", b"x", b"zz9"])
+def test_viterbi_against_all_paths(seen, model):
+    best, cost = slow_restore(seen, model)
+    restored = toxicity.restore_word(seen, model)
+    channel = [c for p, c in _paths(seen) if bytes(p) == restored]
+    assert min(cost(tuple(restored), c) for c in channel) == pytest.approx(best)
+
+
+def _paths(seen):
+    paths = [((), 0.0)]
+    for options in toxicity._lattice(seen.lower()):
+        paths = [((*p, m) if m >= 0 else p, c + x) for p, c in paths for m, x in options]
+    return paths
+
+
+def test_only_suspicious_ranges_change(model):
+    texts = ["plain words, nothing odd. It's 2024!", "é", "", "an 1d10t here", "he is a m.o.r.o.n!", "x y z"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["_text"])
+    data, offsets = toxicity.restore_chunk(*text_buffer(batch), model, {})
+    out = [data.tobytes()[a:b].decode() for a, b in zip(offsets, offsets[1:])]
+    assert out[:3] == texts[:3] and out[3] == "an idiot here" and "moron" in out[4]
+
+
+def test_restored_texts(tables):
+    docs, _ = tables
+    rows = {r["_id"]: r["restored"] for r in toxicity.restore_texts(docs).collect()}
+    assert sum(any(b in rows[10_000 + i] for b in BAD) for i in range(len(HIDDEN))) >= 0.9 * len(HIDDEN)
+
+
+def test_wilson_bound():
+    assert toxicity.wilson(np.array([0, 5, 500]), np.array([0, 0, 0])) == pytest.approx([0, 0.5655, 0.9924], abs=1e-3)
