@@ -74,6 +74,7 @@ from courtlens.operators.summaries import (  # noqa: E402
     skill_summary,
     tier_counts,
 )
+from courtlens.operators.small_tables import discard  # noqa: E402
 from courtlens.plans.player_report import (  # noqa: E402
     build_final_player_profiles,
     find_playstyles,
@@ -91,6 +92,7 @@ __all__ = [
     "clustering_input_summary",
     "clustering_samples",
     "describe_playstyle_name",
+    "discard",
     "feature_directions",
     "feature_information",
     "feature_summary",

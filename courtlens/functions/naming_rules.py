@@ -16,8 +16,8 @@ HIGHER = "Higher-Performance"
 
 # skill group -> word that opens an archetype name
 GROUP_PREFIXES = {
-    "Developing / Lower-Performance": "Developing",
-    "Higher-Performance": "Advanced",
+    DEVELOPING: "Developing",
+    HIGHER: "Advanced",
 }
 
 # (feature, family, word for a low value, word for a high value), in order of precedence

@@ -22,7 +22,7 @@ from courtlens.functions.naming_rules import (
 )
 from courtlens.functions.expressions import is_missing, nan_to_null
 from courtlens.operators.checks import check_one_to_one
-from courtlens.operators.small_tables import join_small
+from courtlens.operators.small_tables import join_small, local_frame
 from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES
 
 STYLE_KEYS = ["skill_group", "playstyle_cluster"]
@@ -37,27 +37,27 @@ def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_s
         raise ValueError(
             f"There is no column '{rank_by}' to rank the skill clusters by."
         )
-    # A row per cluster comes back; the check and the averages share the pass.
+    # A row per cluster comes back; the check and the averages share the pass. Clusters are few: a
+    # K-Means numbers them up to K.
     averages = skill_clustered.groupBy("skill_cluster").agg(
         F.avg(rank_by).alias("average"), F.count_if(is_missing(rank_by, skill_clustered)).alias("missing")
     ).toArrow()
     if any(averages.column("missing").to_pylist()):
         raise ValueError(f"Some players have no '{rank_by}'; clusters cannot be ranked by it.")
-    clusters = skill_clustered.sparkSession.createDataFrame(averages).filter(
-        F.col("skill_cluster").isNotNull()
+    ranked = sorted(
+        (r["average"], r["skill_cluster"])
+        for r in averages.to_pylist()
+        if r["skill_cluster"] is not None
     )
-    # One row per cluster: the ranking is a sorted array, not a window over one partition.
-    ranked = clusters.agg(
-        F.array_sort(F.collect_list(F.struct("average", "skill_cluster"))).alias("ranked")
-    ).select(F.size("ranked").alias("n"), F.posexplode("ranked").alias("position", "cluster"))
-    position, n = F.col("position"), F.col("n")
-    name = (
-        F.when(n.isin(2, 3) & (position == 0), DEVELOPING)
-        .when(n.isin(2, 3) & (position == n - 1), HIGHER)
-        .when(n == 3, INTERMEDIATE)
-        .otherwise(F.concat(F.lit("Performance Group "), (position + 1).cast("string")))
+    fixed = {2: [DEVELOPING, HIGHER], 3: [DEVELOPING, INTERMEDIATE, HIGHER]}
+    numbered = [f"Performance Group {i + 1}" for i in range(len(ranked))]
+    names = fixed.get(len(ranked), numbered)
+    kind = skill_clustered.schema["skill_cluster"].dataType.simpleString()
+    return local_frame(
+        skill_clustered.sparkSession,
+        [(cluster, name) for (_, cluster), name in zip(ranked, names)],
+        f"skill_cluster {kind}, skill_group string",
     )
-    return ranked.select(F.col("cluster.skill_cluster").alias("skill_cluster"), name.alias("skill_group"))
 
 
 def apply_skill_cluster_labels(skill_clustered: DataFrame, labels: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ def join_small(
     At most BROADCAST_ROWS + 1 rows are fetched. If they are all and fit, they are broadcast, so ``df`` is not shuffled and a key holding most rows does no harm. If it does not fit, the
     join is an ordinary shuffled one, where adaptive execution splits skewed partitions.
     """
+    if hasattr(small, "local_rows"):
+        return join_rows(df, *small.local_rows, on, how)
     head = small.limit(BROADCAST_ROWS + 1).toArrow()
     if head.num_rows > BROADCAST_ROWS or head.nbytes > BROADCAST_BYTES:
         return df.join(small, list(on), how)
@@ -31,6 +33,13 @@ def join_small(
     return df.join(F.broadcast(local), list(on), how)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of rows the driver holds; ``join_small`` takes them from here without a job."""
+    frame = spark.createDataFrame(list(rows), schema)
+    frame.local_rows = (list(rows), schema)
+    return frame
+
+
 def join_rows(
     df: DataFrame, rows: Sequence[tuple], schema: str, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -70,4 +79,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/courtlens/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables, which nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)

@@ -104,8 +104,10 @@ def test_result_does_not_depend_on_partitioning(spark, monkeypatch):
     (one,), _ = fit(df.coalesce(1), XY, {ALL: [4]})
     monkeypatch.setattr("courtlens.operators.points.POINTS_PER_TASK", 20)
     monkeypatch.setattr(kmeans, "CHUNK_CELLS", 64)
-    (many,), points = fit(df.repartition(7), XY, {ALL: [4]})
-    assert points.frame.select(F.spark_partition_id()).distinct().count() > 1
+    packed = pack_points(df.repartition(7), XY)
+    assert packed.frame.select(F.spark_partition_id()).distinct().count() > 1
+    packed.release()
+    (many,), _ = fit(df.repartition(7), XY, {ALL: [4]})
     assert np.allclose(one.centres, many.centres) and one.cost == pytest.approx(many.cost)
 
 
@@ -143,10 +145,11 @@ def test_emptied_centre_moves_to_the_farthest_point(spark):
     # Two far starts on one side leave the third centre without points after an update.
     x = np.array([[0.0, 0.0], [0.1, 0.0], [0.2, 0.0], [50.0, 0.0], [50.1, 0.0]])
     points = pack_points(frame(spark, x), XY)
-    runs = [kmeans._Run(ALL, 3, 1, 0, np.array([[0.0, 0.0], [0.05, 0.0], [900.0, 0.0]]))]
+    centre = points.groups[ALL].centre
+    runs = [kmeans._Run(ALL, 3, 1, 0, np.array([[0.0, 0.0], [0.05, 0.0], [900.0, 0.0]]) - centre)]
     (spot,) = kmeans._Passes(points, [ALL]).draw(runs, [1], step=0, farthest=True)
     points.release()
-    assert spot.tolist() == [[50.1, 0.0]]
+    assert (spot + centre).tolist() == [[pytest.approx(50.1), 0.0]]
 
 
 @pytest.mark.parametrize(("block", "column", "dense"), [(1024, 10**6, 512), (40, 35, 512), (40, 35, 2)])
@@ -206,12 +209,12 @@ def test_a_point_travels_once_per_row_and_column(spark):
     labelled = points.frame.withColumn("labels", F.array(F.lit(0)))
     grids = silhouette_module.plan_grid({"a": 250, "b": 250}, {"a": 3, "b": 900}, tasks=40)
     copies = silhouette_module.cell_copies(labelled, points.axes, grids).cache()
-    points.release()
     assert copies.count() == sum(250 * (g.rows + g.columns) for g in grids.values())
     assert grids["a"].rows > 1 and grids["a"].columns > 1 and grids["b"].columns == 1
     # Each cell pairs one row block with one column: all pairs of a group meet once.
     met = copies.filter("role = 0").alias("x").join(copies.filter("role = 1").alias("y"), "cell")
     assert met.count() == 2 * 250 * 250
+    points.release()
     # A larger group gets cells by the square root of the tasks, not a copy per task.
     big = silhouette_module.plan_grid({"all": 5_000_000}, {"all": 70}, tasks=2000)["all"]
     assert big.rows * big.columns >= 2000 and big.rows + big.columns < 150

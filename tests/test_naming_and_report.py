@@ -1,8 +1,10 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from courtlens import OffendingPlayers
+from courtlens import OffendingPlayers, discard
 from courtlens.operators.naming import (
     apply_playstyle_archetypes,
     apply_skill_cluster_labels,
@@ -16,6 +18,7 @@ from courtlens.plans.player_report import (
     find_skill_groups,
     player_report,
 )
+from courtlens.operators.small_tables import checkpoint_dir
 from courtlens.schema import MATCH_LOG_SCHEMA, PLAYSTYLE_FEATURES
 
 DEVELOPING, HIGHER = "Developing / Lower-Performance", "Higher-Performance"
@@ -221,10 +224,21 @@ def test_whole_report(spark, league):
     assert len(set(per_cluster.values())) == len(per_cluster)
 
 
-def test_options_reach_their_level(spark, league):
+def stored_tables(spark):
+    folder = checkpoint_dir(spark).removeprefix("file://") + "/courtlens"
+    return {f"{d}/{n}" for d in os.listdir(folder) for n in os.listdir(f"{folder}/{d}")}
+
+
+def test_options_and_storage(spark, league):
     logs, ratings = league
+    player_report(logs, ratings, n_init=1)  # so that the folder exists
+    before = stored_tables(spark)
     report = player_report(logs, ratings, n_init=2, skip_small=True, min_share=0.5)
     assert report.count() == 80
+    # Of all tables of the run only the report is left, until it is discarded.
+    assert {t.split("/")[1] for t in stored_tables(spark) - before} == {"player_report"}
+    discard(report)
+    assert stored_tables(spark) == before
 
 
 def test_ratings_must_cover_every_player_once(spark, league):
