@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from courtlens.llm.common import chunks, column, text_buffer
 
 # Pieces kept in a task's cache before it starts afresh.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 # Pieces of more bytes are merged with a heap.
 HEAP_FROM = 128
 _LANE = 256
@@ -258,8 +258,11 @@ def encode(
     df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "ids"
 ) -> DataFrame:
     """``df`` with the token ids of every text, as little-endian unsigned 32-bit integers."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary.ranks, code_point_classes()))
+    return df.mapInArrow(_encoder(df, vocabulary, text_col, out), _appended(df, out))
+
+
+def _encoder(df: DataFrame, vocabulary: Vocabulary, text_col: str, out: str):
+    shared = df.sparkSession.sparkContext.broadcast((vocabulary.ranks, code_point_classes()))
     transitions = Transitions()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,13 +295,17 @@ def encode(
                     [*kept, pa.array(ids, pa.binary())], [*whole.schema.names, out]
                 )
 
-    return df.mapInArrow(run, _appended(df, out))
+    return run
 
 
 def decode(
     df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded"
 ) -> DataFrame:
     """``df`` with the bytes that the token ids stand for; null ids have none."""
+    return df.mapInArrow(_decoder(df, vocabulary, ids_col, out), _appended(df, out))
+
+
+def _decoder(df: DataFrame, vocabulary: Vocabulary, ids_col: str, out: str):
     shared = df.sparkSession.sparkContext.broadcast((vocabulary.offsets, vocabulary.bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +323,7 @@ def decode(
                 [*kept, pa.array(decoded, pa.binary())], [*batch.schema.names, out]
             )
 
-    return df.mapInArrow(run, _appended(df, out))
+    return run
 
 
 def token_offsets(ids: bytes, vocabulary: Vocabulary) -> np.ndarray:
@@ -329,9 +336,15 @@ def token_offsets(ids: bytes, vocabulary: Vocabulary) -> np.ndarray:
 def round_trip(
     spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(_id, ids, decoded) per row."""
+    """(_id, ids, decoded) per row; both operators run in one pass of one worker."""
     vocabulary = Vocabulary(path)
     text = F.coalesce(column(docs, text_col), F.lit(""))
     rows = docs.select(column(docs, id_col).alias("_id"), text.alias("_text"))
-    coded = encode(rows, vocabulary, "_text").select("_id", "ids")
-    return decode(coded, vocabulary)
+    encoder = _encoder(rows, vocabulary, "_text", "ids")
+    decoder = _decoder(rows, vocabulary, "ids", "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoder(batch.select(["_id", "ids"]) for batch in encoder(batches))
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"_id {kind}, ids binary, decoded binary")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlens.operators.small_tables import checkpoint_dir, materialize
+from courtlens.operators.small_tables import checkpoint_dir
 
 # Bytes of text that one numpy pass handles. Larger texts get a pass of their own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # The steps of the 64-bit mixer.
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -25,19 +28,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back, so that a lost executor costs a re-read."""
-    return materialize(df, name)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/courtlens/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``store`` wrote for ``df``; only for tables that nothing reads any more."""
-    spark = df.sparkSession
-    root = checkpoint_dir(spark)
-    for name in df.inputFiles()[:1]:
-        folder = name.rpartition("/")[0]
-        if "/courtlens/" not in folder:
-            raise ValueError(f"{folder} is not a stored table below {root}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``store`` wrote for these tables, which nothing reads any more.
+
+    The shuffle files of the jobs that wrote them go as soon as the driver collects its garbage,
+    which is asked for here: on a cluster they hold the local disks of all executors.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+    if tables:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -85,6 +96,15 @@ def _strings(batch: pa.RecordBatch, name: str) -> pa.Array:
     return array
 
 
+def carried_text(batch: pa.RecordBatch, row: str, text: str, name: str = "_text") -> pa.RecordBatch:
+    """``batch`` with the text field of its struct column ``row`` as a column; null is empty.
+
+    The text crosses to the task once, inside the row.
+    """
+    texts = pc.struct_field(batch.column(row), text)
+    return batch.append_column(name, texts.fill_null("") if texts.null_count else texts)
+
+
 def text_buffer(batch: pa.RecordBatch, name: str = "_text") -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a batch, and the offset of each text with the end of the last."""
     array = _strings(batch, name)
