@@ -36,8 +36,10 @@ from courtlens.llm.common import (
     bloom_bits,
     bloom_filter,
     bloom_has,
+    carried_text,
     chunks,
     column,
+    discard,
     keyed,
     mix,
     store,
@@ -283,30 +285,35 @@ def _resolve(window: int):
     return run
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in chunks(whole):
-            counts, removed, kept = [], [], []
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            for text, spans in zip(texts, batch.column("spans").to_pylist()):
-                words = text.split()
-                counts.append(len(words))
-                if spans:
-                    # From the end, so that earlier positions stay valid.
-                    for span in reversed(spans):
-                        del words[span["a"] : span["b"]]
-                removed.append(counts[-1] - len(words))
-                kept.append(b" ".join(words))
-            passed = [n for n in batch.schema.names if n not in ("_text", "spans")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(n) for n in passed],
-                    pa.array(counts, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
-                ],
-                [*passed, "n_words", "n_removed", "kept"],
-            )
+def _remove(text_in_row: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            if text_in_row is not None:
+                whole = carried_text(whole, "_row", text_in_row)
+            for batch in chunks(whole):
+                counts, removed, kept = [], [], []
+                texts = batch.column("_text").cast(pa.binary()).to_pylist()
+                for text, spans in zip(texts, batch.column("spans").to_pylist()):
+                    words = text.split()
+                    counts.append(len(words))
+                    if spans:
+                        # From the end, so that earlier positions stay valid.
+                        for span in reversed(spans):
+                            del words[span["a"] : span["b"]]
+                    removed.append(counts[-1] - len(words))
+                    kept.append(b" ".join(words))
+                passed = [n for n in batch.schema.names if n not in ("_text", "spans")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(n) for n in passed],
+                        pa.array(counts, pa.int64()),
+                        pa.array(removed, pa.int64()),
+                        pa.array(kept, pa.binary()).cast(pa.string()),
+                    ],
+                    [*passed, "n_words", "n_removed", "kept"],
+                )
+
+    return run
 
 
 # ---- the operator -----------------------------------------------------------
@@ -339,6 +346,7 @@ def repeated_spans(
         return df.groupBy("shard", "code").agg(low, high)
 
     distinct = store(fold(copies), "distinct_passages")
+    done = [shared, copies, distinct]
     large = store(
         distinct.groupBy("shard").count().filter(F.col("count") > shard_passages).select("shard"),
         "large_shards",
@@ -350,6 +358,7 @@ def repeated_spans(
             copies.join(large, "shard", "left_anti").unionByName(cut), "passages_cut_again"
         )
         distinct = store(fold(copies), "distinct_passages_cut_again")
+        done += [copies, distinct]
     # A shard of one distinct passage, or of one document, has nothing to match.
     several = distinct.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n"), F.min("low").alias("least"), F.max("low").alias("most")
@@ -375,8 +384,13 @@ def repeated_spans(
     first_copies = shards.mapInArrow(
         _resolve(window), "shard bigint, code bigint, runs array<struct<a:int,b:int>>"
     )
-    todo = distinct.join(first_copies, ["shard", "code"], "left").filter(
-        "low < high OR runs IS NOT NULL"
+    # Stored, so that the join below shuffles both of its sides and a passage of very many
+    # documents can be split.
+    todo = store(
+        distinct.join(first_copies, ["shard", "code"], "left").filter(
+            "low < high OR runs IS NOT NULL"
+        ),
+        "passages_to_remove",
     )
     found = copies.join(todo, ["shard", "code"]).select(
         "_id",
@@ -396,12 +410,16 @@ def repeated_spans(
                                     greatest(element_at(done, -1).b, x.b) AS b)))
                   ELSE concat(done, array(x)) END)"""
     )
-    return (
+    spans = store(
         found.filter("part IS NOT NULL")
         .groupBy("_id", "_h")
         .agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("parts"))
-        .select("_id", "_h", merged.alias("spans"))
+        .select("_id", "_h", merged.alias("spans")),
+        "spans",
     )
+    del keys, several, texts, shards, first_copies, found
+    discard(large, members, todo, *done)
+    return spans
 
 
 def dedup_substrings(
@@ -422,18 +440,19 @@ def dedup_substrings(
     kind = source.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, _h bigint, "
     passed = ["doc._id", "doc._h"]
-    left, text = source, F.col("doc._text")
-    if carry:
+    left = source
+    if not carry:
+        passed.append("doc._text")
+    else:
         row = F.struct(*[column(docs, c) for c in docs.columns]).alias("_row")
         given = F.coalesce(column(docs, text_col), F.lit(""))
         left = docs.select(column(docs, id_col).alias("_id"), F.xxhash64(given).alias("_h"), row)
-        text = F.coalesce(F.col("doc._row").getField(text_col), F.lit("")).alias("_text")
         schema += f"_row {left.schema['_row'].dataType.simpleString()}, "
         passed.append("doc._row")
     left, right = left.alias("doc"), spans.alias("found")
     both = (F.col("doc._id") == F.col("found._id")) & (F.col("doc._h") == F.col("found._h"))
     return (
         left.join(right, both, "left")
-        .select(*passed, text, "found.spans")
-        .mapInArrow(_remove, f"{schema}n_words bigint, n_removed bigint, kept string")
+        .select(*passed, "found.spans")
+        .mapInArrow(_remove(text_col if carry else None), f"{schema}n_words bigint, n_removed bigint, kept string")
     )
