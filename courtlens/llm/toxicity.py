@@ -8,8 +8,10 @@ other words have a lattice of one path, themselves.
 
 Scoring: words and word beginnings of the restored text are looked up among the features that
 labelled toxic rows have more often. A feature weighs the Wilson lower bound of its share of toxic
-rows; a logistic function of the largest weight and the number of heavy words, fitted on labelled
-rows whose features were not counted, gives the score.
+rows. A logistic function of the largest weight among words and beginnings of LONG bytes or more,
+of that among shorter beginnings (weak evidence alone, as innocent words share them), and of the
+number of heavy words gives the score; it is fitted on labelled rows whose features were not
+counted.
 
 * The trigram counts are taken over all texts, in arrays of 64^3 per task, and added up.
 * At most MAX_LABELLED labelled rows are used, those of least id hash. Their ids (and only ids) are
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.llm.common import chunks, column, mix, store, text_buffer
+from courtlens.llm.common import carried_text, chunks, column, mix, store, text_buffer
 from courtlens.llm.shingles import (
     SPACED,
     UNCHANGED,
@@ -50,9 +52,11 @@ MIN_ROWS = 4
 HELD_OUT = 5
 # Of the training rows, one in FIT fits the logistic function and is not counted.
 FIT = 5
-Z = 1.96
+# Wide enough that a chance feature of a few rows weighs little: 4 of 4 rows give 0.31.
+Z = 3.0
 HEAVY = 0.5
 PREFIXES = (3, 4, 5, 6, 7, 8)
+LONG = 5
 
 # ---- the character model ----------------------------------------------------
 
@@ -270,20 +274,22 @@ def _fold(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, word, text) of every word and of its beginnings of PREFIXES bytes."""
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, word, text, long) of every word and of its beginnings of PREFIXES bytes."""
     folded = _fold(data)
     words = find_words(folded, offsets, _LETTER, UNCHANGED)
     range_hash = prefix_hashes(folded)
     hashes, owners = [words.hashes], [np.arange(len(words.starts))]
+    long = [np.ones(len(words.starts), bool)]
     for n in PREFIXES:
         longer = np.flatnonzero(words.ends - words.starts > n)
         start = words.starts[longer]
         # A salt keeps a beginning apart from the whole word of the same letters.
         hashes.append(mix(range_hash(start, start + n) + np.uint64(n)))
         owners.append(longer)
+        long.append(np.full(len(longer), n >= LONG))
     owner = np.concatenate(owners)
-    return np.concatenate(hashes), owner, words.texts[owner]
+    return np.concatenate(hashes), owner, words.texts[owner], np.concatenate(long)
 
 
 def _feature_rows(model, toxic_only: bool, wanted=None):
@@ -294,7 +300,7 @@ def _feature_rows(model, toxic_only: bool, wanted=None):
         for whole in batches:
             for batch in chunks(whole):
                 data, offsets = restore_chunk(*text_buffer(batch), model.value, cache)
-                hashes, _, texts = features(data, offsets)
+                hashes, _, texts, _ = features(data, offsets)
                 toxic = np.asarray(batch.column("toxic"), np.int64)
                 if toxic_only:
                     keep = toxic[texts] == 1
@@ -329,8 +335,11 @@ def wilson(bad: np.ndarray, good: np.ndarray) -> np.ndarray:
     return (middle - Z * np.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
 
 
-def _measures(model, table):
-    """Per text: the largest weight of its features, and its words of weight HEAVY or more."""
+def _measures(model, table, text_in_row: str | None = None):
+    """Per text: the largest weights of its long and short features, and its heavy words.
+
+    ``text_in_row`` names the field of ``_row`` that holds the text, if there is no ``_text``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weights = table.value
@@ -338,32 +347,37 @@ def _measures(model, table):
         gate[keys >> np.uint64(44)] = True
         cache: dict[bytes, bytes] = {}
         for whole in batches:
+            if text_in_row is not None:
+                whole = carried_text(whole, "_row", text_in_row)
             for batch in chunks(whole):
                 data, offsets = restore_chunk(*text_buffer(batch), model.value, cache)
-                hashes, words, texts = features(data, offsets)
+                hashes, words, texts, long = features(data, offsets)
                 found = np.flatnonzero(gate[hashes >> np.uint64(44)])
                 at = np.minimum(np.searchsorted(keys, hashes[found]), max(0, len(keys) - 1))
                 found, at = (x[keys[at] == hashes[found]] for x in (found, at)) if len(keys) else (
                     found[:0],
                     at[:0],
                 )
-                best = np.zeros(batch.num_rows)
-                np.maximum.at(best, texts[found], weights[at])
-                heavy = weights[at] >= HEAVY
+                best, short = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+                for out, kind in ((best, long[found]), (short, ~long[found])):
+                    np.maximum.at(out, texts[found][kind], weights[at][kind])
+                heavy = (weights[at] >= HEAVY) & long[found]
                 _, one = np.unique(words[found][heavy], return_index=True)
                 many = np.bincount(texts[found][heavy][one], minlength=batch.num_rows)
                 kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "_text"]
                 names = [n for n in batch.schema.names if n != "_text"]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(best), pa.array(many, pa.int64())], [*names, "best", "heavy"]
+                    [*kept, pa.array(best), pa.array(short), pa.array(many, pa.int64())],
+                    [*names, "best", "short", "heavy"],
                 )
 
     return run
 
 
-def _inputs(best: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-    p = np.clip(best, 0.01, 0.99)
-    return np.stack([np.ones(len(p)), np.log(p / (1 - p)), np.log1p(heavy)], axis=1)
+def _inputs(best: np.ndarray, short: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    p, q = (np.clip(x, 0.01, 0.99) for x in (best, short))
+    logits = [np.log(x / (1 - x)) for x in (p, q)]
+    return np.stack([np.ones(len(p)), *logits, np.log1p(heavy)], axis=1)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -451,35 +465,33 @@ def score_toxicity(
         hashes = counted["feature"].to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         keys, weights = hashes[order], bound[order]
-    measure = _measures(model, share((keys, weights)))
-    # At most MAX_LABELLED rows of three numbers.
+    fitted = share((keys, weights))
+    measure = _measures(model, fitted)
+    # At most MAX_LABELLED rows of four numbers.
     rows = (
         labelled.filter("fits")
         .select("_text", "toxic")
-        .mapInArrow(measure, "toxic int, best double, heavy bigint")
+        .mapInArrow(measure, "toxic int, best double, short double, heavy bigint")
         .toArrow()
     )
     y = rows["toxic"].to_numpy().astype(float)
     if len(y) and 0 < y.sum() < len(y):
-        fit = fit_logistic(_inputs(rows["best"].to_numpy(), rows["heavy"].to_numpy()), y)
+        fit = fit_logistic(_inputs(*(rows[c].to_numpy() for c in ("best", "short", "heavy"))), y)
     else:
         share_toxic = float(y.mean()) if len(y) else 0.0
         p = min(max(share_toxic, 1e-9), 1 - 1e-9)
-        fit = np.array([math.log(p / (1 - p)), 0.0, 0.0])
-    p = F.least(F.greatest("best", F.lit(0.01)), F.lit(0.99))
-    logit = (
-        F.lit(float(fit[0])) + float(fit[1]) * F.log(p / (1 - p)) + float(fit[2]) * F.log1p("heavy")
-    )
+        fit = np.array([math.log(p / (1 - p)), 0.0, 0.0, 0.0])
+    logit = F.lit(float(fit[0])) + float(fit[3]) * F.log1p("heavy")
+    for name, factor in zip(("best", "short"), fit[1:3].tolist()):
+        p = F.least(F.greatest(name, F.lit(0.01)), F.lit(0.99))
+        logit = logit + factor * F.log(p / (1 - p))
     extra, fields = [], ""
     if carry:
         row = F.struct(*[column(docs, c) for c in docs.columns]).alias("_row")
-        texts = docs.select(
-            column(docs, id_col).alias("_id"),
-            F.coalesce(column(docs, text_col), F.lit("")).alias("_text"),
-            row,
-        )
+        texts = docs.select(column(docs, id_col).alias("_id"), row)
+        measure = _measures(model, fitted, text_col)
         extra, fields = ["_row"], f"_row {texts.schema['_row'].dataType.simpleString()}, "
-    scored = texts.mapInArrow(measure, f"_id {kind}, {fields}best double, heavy bigint")
+    scored = texts.mapInArrow(measure, f"_id {kind}, {fields}best double, short double, heavy bigint")
     scored = scored.select("_id", *extra, (1 / (1 + F.exp(-logit))).alias("score"))
     return scored.select(
         "_id",
