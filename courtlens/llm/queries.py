@@ -17,7 +17,7 @@ from courtlens.llm import (
     main_text,
     simhash,
     toxicity,
-    url_filter,
+    url_models,
     warc,
 )
 from courtlens.llm.common import read_table
@@ -63,7 +63,7 @@ def op2_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages"), RULES)
+    judged = url_models.judge_whole_urls(read_table(spark, sf_dir, "pages"), RULES)
     return judged.select(F.col("_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
