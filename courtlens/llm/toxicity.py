@@ -3,10 +3,13 @@
 Restoring: suspicious words (marks or digits among letters, letters repeated three times, letters
 set apart by spaces or marks) become lattices. Each character seen may stand for itself, for a
 letter it looks like, or for nothing (a repeated letter, a separator), at a channel cost; Viterbi
-search finds the likeliest characters under a character trigram model of the whole corpus. All
-other words have a lattice of one path, themselves.
+search finds the likeliest characters under a character trigram model of the whole corpus. Other
+words for which the channel has more than one reading (one doubled letter, one mark inside, any
+look-alike beside letters) and runs of words of one or two letters are mostly what they seem. They
+stay in the text, and their likeliest reading counts beside them. A word of digits is a number.
 
-Scoring: words and word beginnings of the restored text are looked up among the features that
+Scoring: words and word beginnings of the restored text, and of the readings beside it, are looked
+up among the features that
 labelled toxic rows have more often. A feature weighs the Wilson lower bound of its share of toxic
 rows. A logistic function of the largest weight among words and beginnings of LONG bytes or more,
 of that among shorter beginnings (weak evidence alone, as innocent words share them), and of the
@@ -176,6 +179,9 @@ _LETTER = byte_table([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 _PLAIN = byte_table([(0x41, 0x5A), (0x61, 0x7A)])
 _ODD = byte_table([(ord(c), ord(c)) for c in LOOKALIKES if c != "2"])
 _DOT = byte_table([(ord(c), ord(c)) for c in ".-_*"])
+_ANY_ODD = byte_table([(ord(c), ord(c)) for c in LOOKALIKES])
+_DIGITS = byte_table([(0x30, 0x39)])
+_MONEY = byte_table([(0x24, 0x24), (0x40, 0x40)])
 
 
 def suspicious(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -192,10 +198,12 @@ def suspicious(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     triple = np.zeros(len(data), bool)
     if len(data) > 2:
         triple[2:] = _PLAIN[data[2:]] & (lower[2:] == lower[1:-1]) & (lower[1:-1] == lower[:-2])
-    beside = np.zeros(len(data), bool)
-    beside[:-1] |= odd[:-1] & letter[1:]
+    # Neighbours in the same word: the byte beyond its end may be another text's.
+    after, before = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    after[:-1], before[1:] = letter[1:], letter[:-1]
+    after[words.ends - 1], before[words.starts] = False, False
     digits = odd & ~byte_table([(0x21, 0x2F), (0x3A, 0x40), (0x7B, 0x7E)])[data]
-    beside[1:] |= digits[1:] & letter[:-1]
+    beside = odd & after | digits & before
     letters, dots = total(letter), total(_DOT[data])
     size = words.ends - words.starts
     # A run of three letters that began in an earlier word is no triple of this one.
@@ -216,6 +224,51 @@ def suspicious(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.starts[first], words.ends[last]
 
 
+def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges (starts, ends) of which the channel has another reading; runs may hold words."""
+    if not len(words.starts):
+        return words.starts, words.ends
+    starts, ends = words.starts, words.ends
+    size = ends - starts
+
+    def total(flags: np.ndarray, first: np.ndarray = starts, last: np.ndarray = ends) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(flags)])
+        return sums[last] - sums[first]
+
+    lower = np.where(_PLAIN[data], data | 0x20, data)
+    double = np.zeros(len(data), bool)
+    double[1:] = (lower[1:] == lower[:-1]) & (data[1:] < 0x80)
+    letter, odd = _LETTER[data], _ANY_ODD[data]
+    other = total(odd) > 0
+    other |= total(double, np.minimum(starts + 1, ends), ends) > 0
+    other |= total(_DOT[data], starts + 1, np.maximum(ends - 1, starts + 1)) > 0
+    marks_only = (total(letter | _DIGITS[data]) == 0) & (total(_MONEY[data]) > 0) & (size > 1)
+    flagged = other & (total(letter) > 0) | marks_only
+    # Words of one or two letters, the last perhaps with a mark, three or more in a row.
+    char = letter | odd
+    short = (size <= 3) & char[starts] & ((size < 2) | char[np.minimum(starts + 1, ends - 1)] | ~letter[ends - 1])
+    short &= (size < 3) | ~letter[ends - 1]
+    same = np.zeros(len(short), bool)
+    same[1:] = short[1:] & short[:-1] & (words.texts[1:] == words.texts[:-1])
+    heads = np.flatnonzero(~same)
+    tails = np.append(heads[1:], len(short)) - 1
+    # Runs of single letters are restored in the text.
+    run = short[heads] & (tails - heads >= 2) & (np.add.reduceat(total(letter) > 1, heads) > 0)
+    return (
+        np.concatenate([starts[flagged], starts[heads[run]]]),
+        np.concatenate([ends[flagged], ends[tails[run]]]),
+    )
+
+
+def _restored(seen: bytes, model: np.ndarray, cache: dict[bytes, bytes]) -> bytes:
+    meant = cache.get(seen)
+    if meant is None:
+        if len(cache) >= 200_000:
+            cache.clear()
+        meant = cache[seen] = restore_word(seen, model)
+    return meant
+
+
 def restore_chunk(
     data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict[bytes, bytes]
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -229,11 +282,7 @@ def restore_chunk(
     owner = np.searchsorted(offsets, starts, "right")
     for a, b, text in zip(starts.tolist(), ends.tolist(), owner.tolist()):
         seen = raw[a:b]
-        meant = cache.get(seen)
-        if meant is None:
-            if len(cache) >= 200_000:
-                cache.clear()
-            meant = cache[seen] = restore_word(seen, model)
+        meant = _restored(seen, model, cache)
         parts += [raw[at:a], meant]
         grown[text] += len(meant) - (b - a)
         at = b
@@ -276,6 +325,10 @@ def _fold(data: np.ndarray) -> np.ndarray:
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(hash, word, text, long) of every word and of its beginnings of PREFIXES bytes."""
+    return _features(data, offsets)[1]
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, tuple[np.ndarray, ...]]:
     folded = _fold(data)
     words = find_words(folded, offsets, _LETTER, UNCHANGED)
     range_hash = prefix_hashes(folded)
@@ -289,7 +342,45 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         owners.append(longer)
         long.append(np.full(len(longer), n >= LONG))
     owner = np.concatenate(owners)
-    return np.concatenate(hashes), owner, words.texts[owner], np.concatenate(long)
+    return words, (np.concatenate(hashes), owner, words.texts[owner], np.concatenate(long))
+
+
+def restored_features(
+    data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict[bytes, bytes]
+) -> tuple[np.ndarray, ...]:
+    """``features`` of the restored texts and of other readings, whose word is the one they read."""
+    data, offsets = restore_chunk(data, offsets, model, cache)
+    words, found = _features(data, offsets)
+    starts, ends = readable(data, find_words(data, offsets, SPACED, UNCHANGED))
+    if not len(starts):
+        return found
+    # Equal ranges are read once. Bytes tell them apart, not hashes.
+    raw, forms = data.tobytes(), {}
+    form = np.fromiter(
+        (forms.setdefault(raw[a:b], len(forms)) for a, b in zip(starts.tolist(), ends.tolist())),
+        np.int64,
+        len(starts),
+    )
+    readings = [_restored(seen, model, cache) for seen in forms]
+    changed = np.array([meant != seen.lower() for seen, meant in zip(forms, readings)])
+    mine = changed[form]
+    starts, ends, form = starts[mine], ends[mine], form[mine]
+    if not len(form):
+        return found
+    joined = np.frombuffer(b"".join(readings), np.uint8)
+    _, (hashes, _, of, long) = _features(joined, np.cumsum([0, *map(len, readings)]))
+    order = np.argsort(of, kind="stable")
+    first, stop = np.searchsorted(of[order], form, "left"), np.searchsorted(of[order], form, "right")
+    count = stop - first
+    at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+    # A range without a letter holds no word; it is one of its own.
+    word = np.searchsorted(words.starts, starts)
+    none = word == len(words.starts)
+    none[~none] = words.starts[word[~none]] >= ends[~none]
+    word = np.where(none, len(words.starts) + np.arange(len(word)), word)
+    text = np.searchsorted(offsets, starts, "right") - 1
+    more = (hashes[order][at], np.repeat(word, count), np.repeat(text, count), long[order][at])
+    return tuple(np.concatenate(x) for x in zip(found, more))
 
 
 def _feature_rows(model, toxic_only: bool, wanted=None):
@@ -299,8 +390,7 @@ def _feature_rows(model, toxic_only: bool, wanted=None):
         cache: dict[bytes, bytes] = {}
         for whole in batches:
             for batch in chunks(whole):
-                data, offsets = restore_chunk(*text_buffer(batch), model.value, cache)
-                hashes, _, texts, _ = features(data, offsets)
+                hashes, _, texts, _ = restored_features(*text_buffer(batch), model.value, cache)
                 toxic = np.asarray(batch.column("toxic"), np.int64)
                 if toxic_only:
                     keep = toxic[texts] == 1
@@ -350,8 +440,7 @@ def _measures(model, table, text_in_row: str | None = None):
             if text_in_row is not None:
                 whole = carried_text(whole, "_row", text_in_row)
             for batch in chunks(whole):
-                data, offsets = restore_chunk(*text_buffer(batch), model.value, cache)
-                hashes, words, texts, long = features(data, offsets)
+                hashes, words, texts, long = restored_features(*text_buffer(batch), model.value, cache)
                 found = np.flatnonzero(gate[hashes >> np.uint64(44)])
                 at = np.minimum(np.searchsorted(keys, hashes[found]), max(0, len(keys) - 1))
                 found, at = (x[keys[at] == hashes[found]] for x in (found, at)) if len(keys) else (
