@@ -9,7 +9,10 @@ score well or are paragraphs of prose. Of what is kept, blocks come in page orde
 
 Left out before scoring: elements that are no content by name (menus, headers, footers, sidebars,
 forms, scripts, styles, ...), by role, by a word of their class or id (adverts, notices, comments,
-...), or hidden. Lists of links inside the kept part go too.
+...), or hidden. Lists of links inside the kept part go too. A class or id does not leave out an
+element that holds most of the page's article (its text in article and main elements, without
+links; of a page without these, all its text, unless one class names the element alone, as
+"comments" does), and names are not looked at if they would leave nothing.
 
 Defined cases: null pages are empty; an empty page, or one without text, gives an empty text;
 unclosed, stray and cut-off tags are repaired; nesting has no limit; a page without markup is its
@@ -180,12 +183,63 @@ def _is_junk(node: Node) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id") and node.tag not in ("article", "main"):
-            if not _JUNK.isdisjoint(_WORDS.findall(value)):
-                return True
     return False
 
 
+def _junk_names(node: Node) -> tuple[bool, bool]:
+    """Whether a word of the class or id names junk, and whether one class or id names nothing else."""
+    named = alone = False
+    if node.attributes and node.tag not in ("html", "body"):
+        for name, value in _ATTRIBUTE.findall(node.attributes):
+            if name.lower() not in ("class", "id"):
+                continue
+            for one in unescape(value.strip("\"'")).lower().split():
+                words = _WORDS.findall(one)
+                if not _JUNK.isdisjoint(words):
+                    named, alone = True, alone or _JUNK.issuperset(words)
+    return named, alone
+
+
+def _mark_junk(root: Node) -> None:
+    """Set ``junk`` of elements that their class or id leaves out."""
+    seen: list[tuple[Node, int, int]] = []
+    named: list[tuple[Node, bool]] = []
+    todo = [(root, False, False)]
+    while todo:
+        node, in_link, in_article = todo.pop()
+        names, alone = _junk_names(node)
+        if names and node.tag not in _GOOD:
+            named.append((node, alone))
+        in_link, in_article = in_link or node.tag == "a", in_article or node.tag in _GOOD and not names
+        own = 0 if in_link else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        seen.append((node, own, own if in_article else 0))
+        todo += [(c, in_link, in_article) for c in node.children if isinstance(c, Node) and not _is_junk(c)]
+    if not named:
+        return
+    texts: dict[int, list[int]] = {}
+    for node, own, article in reversed(seen):
+        sums = texts.setdefault(id(node), [0, 0])
+        sums[0] += own
+        sums[1] += article
+        if node.parent is not None:
+            above = texts.setdefault(id(node.parent), [0, 0])
+            above[0] += sums[0]
+            above[1] += sums[1]
+    page, article = texts[id(root)]
+    for node, alone in named:
+        inside = texts[id(node)]
+        most = 2 * inside[1] > article if article else 2 * inside[0] > page and not alone
+        node.junk = not most
+
+
+def _unmark(root: Node) -> None:
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        node.junk = False
+        todo += [c for c in node.children if isinstance(c, Node)]
+
+
 class _Blocks:
     """Blocks of text in page order, as (container, text, characters in links)."""
 
@@ -219,7 +273,7 @@ def _collect(root: Node) -> list[tuple[Node, str, int]]:
                 blocks.end(container)
             elif item.tag == "br":
                 blocks.open.append("\n")
-        elif item is not root and _is_junk(item):
+        elif item is not root and (item.junk or _is_junk(item)):
             # What stands around it is not one run of text.
             if item.tag in _BLOCK:
                 blocks.end(container)
@@ -235,7 +289,11 @@ def _collect(root: Node) -> list[tuple[Node, str, int]]:
 
 def main_text(page: str) -> str:
     root = read_tree(page)
+    _mark_junk(root)
     blocks = _collect(root)
+    if not blocks:
+        _unmark(root)
+        blocks = _collect(root)
     if not blocks:
         return ""
     scored: list[Node] = []
