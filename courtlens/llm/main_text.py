@@ -4,8 +4,10 @@ Markup is read into a tree with the usual implied end tags. Every block of text
 earns a point, one per comma and one per hundred characters up to three, discounted by the share
 of its text inside links, and passes them in full to its container, half to the container above
 and a third and so on beyond. The container with the most points, discounted by its own share of
-links and with a small bonus for elements that declare content, is kept, and so are siblings that
-score well or are paragraphs of prose. Of what is kept, blocks come in page order.
+links and with a small bonus for elements that declare content, is found. The article or main around
+it is kept whole (main if it has only that article); without these, the ancestor up to which what
+is added is not mostly links. So are siblings that score well or are headings, sections or
+paragraphs, however short. Of what is kept, blocks come in page order.
 
 Left out before scoring: elements that are no content by name (menus, headers, footers, sidebars,
 forms, scripts, styles, ...), by role, by a word of their class or id (adverts, notices, comments,
@@ -62,6 +64,8 @@ _JUNK = set(
 )
 _GOOD = {"article": 5.0, "main": 3.0}
 _PROSE = {"p", "pre", "blockquote", "td", "li", "dd", "dt", "figcaption", "caption", "center", "address"}
+# Kept beside the best container whatever their length, unless they are links.
+_BESIDE = {"p", "pre", "blockquote", "section", "h1", "h2", "h3", "h4", "h5", "h6"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "th", "legend", "summary"}
 # An end tag is implied: for a new element, which open ones close, and what they may not reach past.
 _CLOSES = {
@@ -287,6 +291,42 @@ def _collect(root: Node) -> list[tuple[Node, str, int]]:
     return blocks.done
 
 
+def _whole(best: Node) -> Node:
+    """The article around the best container: all of it, not only what scores."""
+    above = []
+    up = best
+    while up is not None:
+        above.append(up)
+        up = up.parent
+    article = next((n for n in above if n.tag == "article"), None)
+    main = next((n for n in above if n.tag == "main"), None)
+    if article is not None:
+        # What stands in main beside its only article belongs to it.
+        if main is not None and above.index(main) > above.index(article) and not _other_articles(main, article):
+            return main
+        return article
+    if main is not None:
+        return main
+    while best.parent is not None:
+        rest, links = best.parent.text - best.text, best.parent.linked - best.linked
+        if 2 * links > rest:
+            break
+        best = best.parent
+    return best
+
+
+def _other_articles(main: Node, article: Node) -> bool:
+    todo = [main]
+    while todo:
+        node = todo.pop()
+        for child in node.children:
+            if isinstance(child, Node) and child is not article and child.text:
+                if child.tag == "article":
+                    return True
+                todo.append(child)
+    return False
+
+
 def main_text(page: str) -> str:
     root = read_tree(page)
     _mark_junk(root)
@@ -326,6 +366,7 @@ def main_text(page: str) -> str:
 
     best = max(scored, key=value)
     top = value(best)
+    best = _whole(best)
     kept = {id(best)}
     if best.parent is not None:
         for sibling in best.parent.children:
@@ -334,7 +375,7 @@ def main_text(page: str) -> str:
             density = sibling.linked / sibling.text
             if sibling.points and value(sibling) >= max(5.0, 0.2 * top):
                 kept.add(id(sibling))
-            elif sibling.tag == "p" and sibling.text > 80 and density < 0.25:
+            elif sibling.tag in _BESIDE and density < 0.25:
                 kept.add(id(sibling))
     out = []
     for container, text, _ in blocks:
