@@ -5,8 +5,9 @@ path, decides. Urls without a rule are judged by two smoothed variable-order Mar
 host and path, one of the urls that rules allow and one of those they block: the log-likelihood
 difference per character must reach a threshold, calibrated on hosts that the models did not see.
 
-* Training counts 4-grams of a fixed alphabet of SYMBOLS classes over all urls with a rule, in
-  arrays per task, added up by one aggregate. Shorter contexts are sums of these. Both models have
+* Training counts 4-grams of a fixed alphabet of SYMBOLS classes over the urls with a rule whose
+  hosts do not calibrate (one fold of FOLDS is left out for good; ``url_models``, which the query
+  uses, judges by all urls with a rule), in arrays per task, added up by one aggregate. Shorter contexts are sums of these. Both models have
   at most SYMBOLS^4 entries however many urls there are, which bounds what reaches the driver and
   every task.
 * Smoothing is Witten-Bell: a context's own counts, and the next shorter context weighed by the

@@ -106,6 +106,18 @@ def test_query_digits_and_other_letters_are_told_apart(spark):
     assert min(scores["allow"]) > max(scores["block"])
 
 
+def test_the_only_blocked_host_is_learned_in_every_fold(spark):
+    """With one fold left out for good, one of these hosts would never have been seen."""
+    for f in range(url_filter.FOLDS):
+        host = next(h for i in range(500) if fold(f"http://{(h := f'b{i}.net')}/") == f)
+        urls = [f"http://a{i}.com/page/{i}" for i in range(20)]
+        urls += [f"http://{host}/es/casino/{i}" for i in range(10)]
+        urls += ["http://c.org/es/casino/3", "http://c.org/page/3"]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+        score = {r["_id"]: r["score"] for r in url_models.judge_whole_urls(pages, RULES).collect()}
+        assert score[30] < 0 < score[31]
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id int, url string")
     assert url_models.judge_whole_urls(pages, RULES).collect() == []
