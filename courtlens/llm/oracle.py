@@ -1,5 +1,7 @@
 """The results of the registered queries in SQL, where SQL can express them."""
 
+from courtlens.llm.mix_sources import permutation
+
 # Empty strings go: a word has at least one character.
 _WORDS_BETWEEN = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -124,9 +126,122 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
 FROM placed
 """
 
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+terms AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d),
+stats AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, t, count(*) AS tf FROM terms GROUP BY r, t),
+w AS (
+    SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tf, stats GROUP BY t, n_docs),
+i AS (
+    SELECT item_id, text, t, count(*) AS q
+    FROM (SELECT item_id, text, unnest({_ALNUM}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark))
+    GROUP BY item_id, text, t),
+scores AS (
+    SELECT item_id, i.text, r, any_value(doc_id) AS doc_id,
+           sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM i JOIN tf USING (t) JOIN w USING (t), stats GROUP BY item_id, i.text, r),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def _permuted(x: str, n: str, key: str, source: str) -> str:
+    """SQL of ``source`` with column b: where the permutation of a source takes ``x``."""
+    sql, steps = source, permutation(x, n, key, 42, "at")
+    for step in sum(steps, []):
+        sql = f"SELECT *, {step.replace(' div ', ' // ')} FROM ({sql})"
+    return f"SELECT *, at_x{len(steps) - 2} AS b FROM ({sql})"
+
+
+OP12 = f"""
+WITH d AS (
+    SELECT doc_id, source, len({_WORDS_BETWEEN.format(text="coalesce(text, '')")})::BIGINT AS size FROM documents),
+s AS (
+    SELECT *, [3, 1, 2][number % 3 + 1] AS weight FROM (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+        FROM d GROUP BY source)),
+levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER before, 0))
+              / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS own
+    FROM s WINDOW before AS (ORDER BY source_size::DOUBLE / weight, number
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+    SELECT coalesce(first(own ORDER BY source_size::DOUBLE / weight, number)
+                    FILTER (WHERE weight * own < 2 * source_size), 0) AS level FROM levels),
+t AS (
+    SELECT source, source_size, number, (source_size + 63) // 64 AS blocks,
+           CASE WHEN weight * level >= 2 * source_size THEN 2.0::DOUBLE * source_size ELSE weight * level END AS target
+    FROM s, level),
+plan AS (
+    SELECT *, CASE WHEN 2 * (rest - 64 * n_full) >= source_size - 64 * n_full THEN blocks
+                   ELSE least(n_full, floor(rest / 64 + 0.5)) END AS more
+    FROM (SELECT *, floor(target / source_size)::BIGINT AS rounds, source_size // 64 AS n_full,
+                 target - floor(target / source_size) * source_size AS rest FROM t WHERE source_size > 0)),
+b AS ({_permuted("place", "n_full", "number", "SELECT *, unnest(range(n_full)) AS place FROM plan")}),
+taken_blocks AS (
+    SELECT source, b, rounds + (place < more)::BIGINT AS times FROM b
+    UNION ALL SELECT source, n_full, rounds + (n_full < more)::BIGINT FROM plan WHERE blocks > n_full),
+placed AS (
+    SELECT row_number() OVER () AS r, *, coalesce(sum(size) OVER (
+        PARTITION BY source ORDER BY doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
+    FROM d),
+pieces AS (
+    SELECT r, source, b, least((b + 1) * 64, o + size) - greatest(b * 64, o) AS words
+    FROM (SELECT *, unnest(range(o // 64, (o + size - 1) // 64 + 1)) AS b FROM placed WHERE size > 0)),
+taken AS (
+    SELECT r, sum(words * times)::BIGINT AS taken FROM pieces p
+    JOIN taken_blocks k ON p.source IS NOT DISTINCT FROM k.source AND p.b = k.b GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM placed LEFT JOIN taken USING (r) JOIN t ON placed.source IS NOT DISTINCT FROM t.source
+"""
+
+OP13 = f"""
+WITH RECURSIVE {_CRC.split("texts AS")[0].rstrip().rstrip(",")},
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+    GROUP BY doc_id, run),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+        lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8))) AS h
+    FROM (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs WHERE length(run) >= 5), crcs),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+        FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (
+    SELECT word, n, i, word[:i - 1] || '.' || word[i + 1:] AS replaced, word[:i - 1] || word[i + 1:] AS deleted
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS near, b.n FROM holes a JOIN holes b ON a.i = b.i AND a.replaced = b.replaced AND a.word <> b.word
+    UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.deleted = w.word
+    UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.deleted = w.word),
+best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS form, max(n) AS form_n FROM near GROUP BY word),
+forms AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * words.n THEN form END AS form,
+           CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+ways AS (
+    SELECT word, word AS root FROM forms WHERE form IS NULL
+    UNION ALL SELECT forms.word, ways.root FROM forms JOIN ways ON forms.form = ways.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ways USING (word)
+"""
+
 ORACLE_SQL = {
     "op2_sharded_warc": OP2,
     "op4_winnow_decontaminate": OP4,
     "op7_hash_tree_shards": OP7,
     "op10_automaton_substring_dedup": OP10,
+    "op11_bag_ranked_search": OP11,
+    "op12_block_mix": OP12,
+    "op13_gram_spelling_variants": OP13,
 }

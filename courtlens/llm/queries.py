@@ -15,7 +15,10 @@ from courtlens.llm import (
     hash_tree,
     lempel_ziv,
     main_text,
+    mix_sources,
+    ranked_search,
     simhash,
+    spelling,
     toxicity,
     url_models,
     warc,
@@ -134,6 +137,24 @@ def op10_automaton_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_bag_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = ranked_search.rank_documents(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return ranked.select(
+        F.col("_item_id").alias("item_id"), "rank", F.col("_doc_id").alias("doc_id"), "score"
+    )
+
+
+def op12_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources.mix_sources(read_table(spark, sf_dir, "documents"), shard_blocks=1024)
+    return mix.documents.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op13_gram_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -147,5 +168,8 @@ QUERIES = {
         op8_lempel_ziv_fingerprints,
         op9_channel_toxicity,
         op10_automaton_substring_dedup,
+        op11_bag_ranked_search,
+        op12_block_mix,
+        op13_gram_spelling_variants,
     ]
 }

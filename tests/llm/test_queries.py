@@ -31,7 +31,7 @@ def test_query_has_a_row_for_each_input_row(spark, name):
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.fixture(scope="module")
