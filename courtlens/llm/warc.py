@@ -1,15 +1,19 @@
 """Deterministic sharded WARC writer, and a reader of what it wrote.
 
-* Records are sorted by id over all shards. Shard bounds come from the ids with the smallest
-  hashes, so they depend on the rows alone. Payloads are shuffled once, straight to their shard.
+* Records are sorted by id, then digest, over all shards. Shard bounds come from the different
+  (id, digest) pairs with the smallest hashes, so they depend on the rows alone, and an id that many
+  payloads share is cut between digests. Payloads are shuffled once, straight to their shard.
 * Of equal payloads of at least MIN_REVISIT bytes the one with the smallest id is the response and
   the others are revisits. That is decided on digests; each revisit's mark is sorted in front of
   its record, so payloads are joined to nothing.
 * A task streams its shard into gzip members, one a record, regenerates every header and digest,
   and rolls to the next file when the compressed size reaches ``roll_bytes``.
 * Files are written under temporary names. Once the write job has ended, the files of its
-  successful attempts are renamed, which may be repeated, and the manifest is written last; a
-  folder without manifest is not read. Leftovers of failed attempts go with their folder.
+  successful attempts are renamed, which may be repeated, and the manifest is written last.
+  Leftovers of failed attempts go with their folder.
+* Reading follows the manifest: a folder without one, a missing, added, shortened or lengthened file
+  and a file with another number of records are errors, as are blocks and payloads that do not
+  match their digests.
 
 Equal input gives equal files, byte for byte, whatever the partitions and attempts.
 
@@ -21,6 +25,7 @@ empty table gives an archive without files; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import posixpath
 import re
@@ -28,7 +33,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
@@ -40,9 +44,11 @@ from courtlens.llm.common import column, store
 MIN_REVISIT = 100
 SHARD_BYTES = 32 << 20
 ROLL_BYTES = 16 << 20
-# Shards are larger than SHARD_BYTES from 640 GB on; each samples SAMPLE ids for its bound.
+# Shards are larger than SHARD_BYTES from 640 GB on; each samples SAMPLE keys for its bound.
 MAX_SHARDS = 20_000
 SAMPLE = 16
+# Tasks that read an archive, at most.
+MAX_READERS = 20_000
 DATE = "1970-01-01T00:00:00Z"
 
 # Fixed values of the format.
@@ -239,19 +245,18 @@ def write_warc(
     slim = store(rows.select("id", "digest", "size"), "digests")
     total = slim.agg(F.sum("size")).first()[0] or 0
     shards = min(max(1, -(-total // shard_bytes)), MAX_SHARDS)
+    text = F.col("id").cast("string")
     sample = (
-        slim.select("id").filter("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(SAMPLE * shards)
+        slim.select("id", "digest").distinct().orderBy(F.xxhash64("id", "digest"), "id", "digest").limit(SAMPLE * shards)
     )
-    ids = sorted(r["id"] for r in sample.collect())
-    bounds = [ids[len(ids) * i // shards] for i in range(1, shards)] if ids else []
+    # (False, digest) for a null id, which sorts first.
+    keys = sorted(((True, i, d) if i is not None else (False, d)) for i, d in sample.collect())
+    bounds = [keys[len(keys) * i // shards] for i in range(1, shards)] if keys else []
 
     @F.pandas_udf("int")
-    def shard_of(values: pd.Series) -> pd.Series:
-        found = np.zeros(len(values), np.int32)
-        known = values.notna().to_numpy()
-        if bounds:
-            found[known] = np.searchsorted(bounds, values[known].to_numpy(), "right")
-        return pd.Series(found)
+    def shard_of(ids: pd.Series, none: pd.Series, digests: pd.Series) -> pd.Series:
+        rows = zip(ids.tolist(), none.tolist(), digests.tolist(), strict=True)
+        return pd.Series([bisect.bisect_right(bounds, (False, d) if n else (True, i, d)) for i, n, d in rows], dtype="int32")
 
     leaders = (
         slim.filter(F.col("size") >= MIN_REVISIT)
@@ -260,7 +265,6 @@ def write_warc(
         .filter("n > 1")
     )
     marks = slim.join(leaders, "digest").filter("leader < id OR id IS NULL AND leader IS NOT NULL")
-    text = F.col("id").cast("string")
     kept = ["id", "page", "is_page", "digest", "leader", "url", "payload"]
     both = (
         rows.withColumn("leader", F.lit(None).cast("string"))
@@ -281,7 +285,9 @@ def write_warc(
             .select(kept)
         )
     )
-    placed = both.withColumn("shard", shard_of("id"))
+    # The id of a null one is any value of its type, so that the others reach the task as they are.
+    some = F.coalesce("id", F.lit("0").cast(slim.schema["id"].dataType))
+    placed = both.withColumn("shard", shard_of(some, F.col("id").isNull(), "digest"))
     dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions(
         "shard", "id", "digest", "is_page", "url"
     )
@@ -299,58 +305,74 @@ def write_warc(
 # ---- reading ----------------------------------------------------------------
 
 
-def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse_files(folder: str):
+    """Tasks that read the files of manifest rows."""
     names = ["page", "url", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"]
     kinds = [pa.string()] * 4 + [pa.int64(), pa.string(), pa.binary()]
-    for batch in batches:
-        for content in batch.column(0):
-            rows, size = [], 0
-            for member in members(content.as_py()):
-                headers, block = parse_record(member)
-                if headers["WARC-Type"] == "warcinfo":
-                    continue
-                http, _, payload = block.partition(b"\r\n\r\n")
-                digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                length = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                revisit = headers["WARC-Type"] == "revisit"
-                if not revisit and (
-                    len(payload) != length or hashlib.sha256(payload).hexdigest() != digest
-                ):
-                    raise ValueError(f"payload of {headers['WARC-Record-ID']} does not match")
-                rows.append(
-                    (
-                        headers.get("X-Page-ID"),
-                        headers.get("WARC-Target-URI"),
-                        headers["WARC-Type"],
-                        digest,
-                        length,
-                        headers.get("X-Refers-To-Page-ID"),
-                        None if revisit else payload,
-                    )
-                )
-                size += len(payload)
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
-                    )
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
-                )
+
+    def record(headers: dict[str, str], block: bytes) -> tuple:
+        http, _, payload = block.partition(b"\r\n\r\n")
+        digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+        length = int(re.search(rb"Content-Length: (\d+)", http)[1])
+        revisit = headers["WARC-Type"] == "revisit"
+        if not revisit and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
+            raise ValueError(f"payload of {headers['WARC-Record-ID']} does not match")
+        return (
+            headers.get("X-Page-ID"),
+            headers.get("WARC-Target-URI"),
+            headers["WARC-Type"],
+            digest,
+            length,
+            headers.get("X-Refers-To-Page-ID"),
+            None if revisit else payload,
+        )
+
+    def read(name: str, content: bytes, size: int, expected: int) -> Iterator[pa.RecordBatch]:
+        if len(content) != size:
+            raise ValueError(f"{name} has {len(content)} bytes, not {size}")
+        rows, held, seen = [], 0, 0
+        for member in members(content):
+            headers, block = parse_record(member)
+            if headers["WARC-Type"] == "warcinfo":
+                continue
+            rows.append(record(headers, block))
+            seen, held = seen + 1, held + len(block)
+            if held > 4 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                rows, held = [], 0
+        if seen != expected:
+            raise ValueError(f"{name} has {seen} records, not {expected}")
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive, path = _open(folder)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with archive.open_input_stream(posixpath.join(path, row["name"]), compression=None) as stream:
+                    content = stream.read()
+                yield from read(row["name"], content, row["bytes"], row["records"])
+
+    return run
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """(page, url, record_type, payload_digest, payload_bytes, refers_to, payload) per record.
 
-    Digests are verified. Ids are strings; the payload of a revisit is null. Files are read whole,
-    so ``roll_bytes`` bounds a task's memory.
+    The files named in the manifest, and no others, make up an archive. Ids are strings; the payload
+    of a revisit is null. Files are read whole, so ``roll_bytes`` bounds a task's memory.
     """
     schema = (
         "page string, url string, record_type string, payload_digest string, "
         "payload_bytes bigint, refers_to string, payload binary"
     )
-    if spark.read.parquet(f"{folder}/_manifest").isEmpty():
+    manifest = spark.read.parquet(f"{folder}/_manifest")
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+    there = there.select(F.substring_index("path", "/", -1).alias("name"), "length")
+    off = there.join(manifest, "name", "full_outer").filter("NOT (length <=> bytes)")
+    if wrong := [r["name"] for r in off.select("name").orderBy("name").limit(5).collect()]:
+        raise ValueError(f"files differ from the manifest: {', '.join(wrong)}")
+    files = manifest.count()
+    if not files:
         return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(_parse_files, schema)
+    return manifest.repartition(min(files, MAX_READERS)).mapInArrow(_parse_files(folder), schema)
