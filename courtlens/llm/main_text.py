@@ -3,18 +3,24 @@
 Markup is read into a tree with the usual implied end tags. Every block of text is a paragraph: it
 earns a point, one per comma and one per hundred characters up to three, discounted by the share
 of its text inside links, and passes them in full to its container, half to the container above
-and a third and so on beyond. The container with the most points, discounted by its own share of
+and a third and so on up to LEVELS of them. The container with the most points, discounted by its own share of
 links and with a small bonus for elements that declare content, is found. The article or main around
 it is kept whole (main if it has only that article); without these, the ancestor up to which what
 is added is not mostly links. So are siblings that score well or are headings, sections or
 paragraphs, however short. Of what is kept, blocks come in page order.
 
 Left out before scoring: elements that are no content by name (menus, headers, footers, sidebars,
-forms, scripts, styles, ...), by role, by a word of their class or id (adverts, notices, comments,
-...), or hidden. Lists of links inside the kept part go too. A class or id does not leave out an
-element that holds most of the page's article (its text in article and main elements, without
-links; of a page without these, all its text, unless one class names the element alone, as
-"comments" does), and names are not looked at if they would leave nothing.
+scripts, styles, ...), by role, by a class or id (adverts, notices, comments, ...), or hidden; and
+forms. A class or id counts if all its words are such names or words for parts of a page
+("comment-list"), not if one of them is ("notice-period"). Neither a class or id nor a form leaves
+out an element that holds most of the page's article (its text in article and main elements,
+without links; of a page without these, all its text, unless one class names the element alone, as
+"comments" does), and names are not looked at if they would leave nothing. Lists of links inside the
+kept part go too, unless they are inside an article right below a heading, as its sources are, or
+between its prose.
+
+The tree is read, summed and scored in time linear in the page: open elements are found by their
+tag, sums go once up the tree and decisions once down.
 
 Defined cases: null pages are empty; an empty page, or one without text, gives an empty text;
 unclosed, stray and cut-off tags are repaired; nesting has no limit; a page without markup is its
@@ -24,6 +30,7 @@ own text; repeated rows get one row each; other columns are ignored; nothing is
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -43,7 +50,7 @@ _BLOCK = set(
     "ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 _NO_CONTENT = set(
-    "applet aside audio button canvas datalist dialog embed fieldset footer form head header iframe "
+    "applet aside audio button canvas datalist dialog embed fieldset footer head header iframe "
     "input label link map menu meta nav nextid noembed noframes noscript object optgroup option "
     "script search select style svg template textarea title video".split()
 )
@@ -62,7 +69,16 @@ _JUNK = set(
     "skip skyscraper social sponsor sponsored subscribe subscription taboola tags teaser toolbar "
     "topbar widget widgets".split()
 )
+# Words that a class or id may have beside those: parts of a page, not topics.
+_PARTS = set(
+    "area author bar block body bottom box button buttons center column container content date desktop "
+    "footer form group head icon icons image images img inner item items left link links list lists "
+    "meta middle mobile module outer panel post posts right row section side slot small stories story "
+    "text thread title top unit wrap wrapper zone".split()
+)
 _GOOD = {"article": 5.0, "main": 3.0}
+# Containers above a paragraph that share its points.
+LEVELS = 10
 _PROSE = {"p", "pre", "blockquote", "td", "li", "dd", "dt", "figcaption", "caption", "center", "address"}
 # Kept beside the best container whatever their length, unless they are links.
 _BESIDE = {"p", "pre", "blockquote", "section", "h1", "h2", "h3", "h4", "h5", "h6"}
@@ -95,24 +111,91 @@ _KEPT_ATTRIBUTES = ("class", "id", "role", "hidden", "style", "aria-hidden")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "junk", "points", "text", "linked")
+    __slots__ = ("tag", "attributes", "parent", "children", "junk", "points", "text", "linked", "kept")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None) -> None:
         self.tag, self.parent, self.children = tag, parent, []
         self.attributes = attributes
         self.junk = False
         self.points, self.text, self.linked = 0.0, 0, 0
+        self.kept: bool | None = None
+
+
+class _Open:
+    """The open elements, with the places of every tag among them."""
+
+    def __init__(self, root: Node) -> None:
+        self.root = root
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.blocks: list[int] = []
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1] if self.nodes else self.root
+
+    def add(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in _SCOPES:
+            self.scopes.append(at)
+        if node.tag in _BLOCK:
+            self.blocks.append(at)
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self.nodes) > at:
+            last = len(self.nodes) - 1
+            self.places[self.nodes.pop().tag].pop()
+            for places in (self.scopes, self.blocks):
+                if places and places[-1] == last:
+                    places.pop()
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def end(self, tag: str) -> None:
+        """An end tag. A stray inline one closes no block, and nothing closes past a table cell."""
+        at = self.last(tag)
+        limit = -1
+        if tag not in _SCOPES and self.scopes:
+            limit = self.scopes[-1]
+        if tag not in _BLOCK and self.blocks:
+            limit = max(limit, self.blocks[-1])
+        if at >= max(limit, 0):
+            self.cut(at)
+
+    def implied(self, tag: str) -> None:
+        """The end tags that a start tag implies."""
+        if tag in _BLOCK:
+            # A block ends an open paragraph, whatever inline elements are open in it.
+            at = max(self.scopes[-1] if self.scopes else -1, self.blocks[-1] if self.blocks else -1)
+            if at >= 0 and self.nodes[at].tag == "p":
+                self.cut(at)
+        closes, stops = _CLOSES.get(tag, (None, None))
+        if closes:
+            stop = max((self.last(t) for t in stops), default=-1)
+            inside = []
+            for t in closes:
+                places = self.places.get(t, [])
+                first = bisect_right(places, stop)
+                inside += places[first : first + 1]
+            if inside:
+                self.cut(min(inside))
 
 
 def read_tree(page: str) -> Node:
     """The element tree; children are nodes or strings with references decoded."""
     root = Node("html", "", None)
-    node, at, size = root, 0, len(page)
+    elements, at, size, body = _Open(root), 0, len(page), False
 
     def text(start: int, end: int) -> None:
         if end > start:
             piece = page[start:end]
-            node.children.append(unescape(piece) if "&" in piece else piece)
+            elements.top.children.append(unescape(piece) if "&" in piece else piece)
 
     while at < size:
         found = _TAG.search(page, at)
@@ -126,54 +209,25 @@ def read_tree(page: str) -> Node:
             continue
         name = name.lower()
         if closing:
-            up = node
-            while up is not root and up.tag != name:
-                # A stray inline end tag closes no block, and nothing closes past a table cell.
-                if up.tag in _SCOPES and name not in _SCOPES or name not in _BLOCK and up.tag in _BLOCK:
-                    break
-                up = up.parent
-            if up is not root and up.tag == name:
-                node = up.parent
+            elements.end(name)
             continue
-        if name in ("html", "body") and (name == "html" or any(
-            isinstance(c, Node) and c.tag == "body" for c in root.children
-        )):
+        if name == "html" or name == "body" and body:
             continue
-        node = _implied_ends(node, root, name)
-        child = Node(name, rest if any(a in rest.lower() for a in _KEPT_ATTRIBUTES) else "", node)
-        node.children.append(child)
+        elements.implied(name)
+        above = elements.top
+        child = Node(name, rest if any(a in rest.lower() for a in _KEPT_ATTRIBUTES) else "", above)
+        above.children.append(child)
+        body = body or name == "body" and above is root
         if name in _VOID or rest.endswith("/") and name not in _BLOCK and name not in _RAW and name != "a":
             continue
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        node = child
+        elements.add(child)
     return root
 
 
-def _implied_ends(node: Node, root: Node, name: str) -> Node:
-    if name in _BLOCK:
-        # A block ends an open paragraph, whatever inline elements are open in it.
-        up = node
-        while up is not root and up.tag not in _SCOPES and up.tag != "p":
-            if up.tag in _BLOCK:
-                break
-            up = up.parent
-        if up is not root and up.tag == "p":
-            node = up.parent
-    closes, stops = _CLOSES.get(name, (None, None))
-    if closes:
-        up, last = node, None
-        while up is not root and up.tag not in stops:
-            if up.tag in closes:
-                last = up
-            up = up.parent
-        if last is not None:
-            node = last.parent
-    return node
-
-
 def _is_junk(node: Node) -> bool:
     if node.tag in _NO_CONTENT:
         return True
@@ -191,7 +245,7 @@ def _is_junk(node: Node) -> bool:
 
 
 def _junk_names(node: Node) -> tuple[bool, bool]:
-    """Whether a word of the class or id names junk, and whether one class or id names nothing else."""
+    """Whether a class or id names junk, and whether one has no other words."""
     named = alone = False
     if node.attributes and node.tag not in ("html", "body"):
         for name, value in _ATTRIBUTE.findall(node.attributes):
@@ -199,9 +253,9 @@ def _junk_names(node: Node) -> tuple[bool, bool]:
                 continue
             for one in unescape(value.strip("\"'")).lower().split():
                 words = _WORDS.findall(one)
-                if not _JUNK.isdisjoint(words):
+                if not _JUNK.isdisjoint(words) and all(w in _JUNK or w in _PARTS for w in words):
                     named, alone = True, alone or _JUNK.issuperset(words)
-    return named, alone
+    return named or node.tag == "form", alone
 
 
 def _mark_junk(root: Node) -> None:
@@ -327,43 +381,99 @@ def _other_articles(main: Node, article: Node) -> bool:
     return False
 
 
-def main_text(page: str) -> str:
-    root = read_tree(page)
-    _mark_junk(root)
-    blocks = _collect(root)
-    if not blocks:
-        _unmark(root)
-        blocks = _collect(root)
-    if not blocks:
-        return ""
-    scored: list[Node] = []
+def _in_order(root: Node) -> list[Node]:
+    """All elements, every one after its parent."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if isinstance(c, Node)]
+    return order
 
-    def reward(node: Node, points: float) -> None:
-        if not node.points:
-            scored.append(node)
-        node.points += points
 
+def score(root: Node, blocks: list[tuple[Node, str, int]]) -> list[Node]:
+    """Set text, linked and points of the elements; returns those with points, as first rewarded."""
+    scored: list[Node] = []
     for container, text, links in blocks:
-        up = container
-        while up is not None:
-            up.text += len(text)
-            up.linked += links
-            up = up.parent
+        container.text += len(text)
+        container.linked += links
         if container.tag in _HEADINGS:
             continue
         points = 1 + text.count(",") + min(len(text) / 100, 3.0)
         points *= 1 - links / len(text)
         prose = container.tag in _PROSE and container.parent is not None
         up, share = (container.parent if prose else container), 1
-        while up is not None and points > 0:
-            reward(up, points / share)
+        while up is not None and points > 0 and share <= LEVELS:
+            if not up.points:
+                scored.append(up)
+            up.points += points / share
             up, share = up.parent, share + 1
-    if not scored:
-        return "\n".join(text for _, text, links in blocks if links < len(text))
+    for node in reversed(_in_order(root)):
+        if node.parent is not None:
+            node.parent.text += node.text
+            node.parent.linked += node.linked
+    return scored
 
-    def value(node: Node) -> float:
-        return (node.points + _GOOD.get(node.tag, 0.0)) * (1 - node.linked / max(1, node.text))
 
+def value(node: Node) -> float:
+    return (node.points + _GOOD.get(node.tag, 0.0)) * (1 - node.linked / max(1, node.text))
+
+
+def _links(node: Node) -> bool:
+    return node.tag in ("ul", "ol", "table", "div") and node.linked > 0.8 * node.text
+
+
+def _decide(root: Node, kept: set[int], sources: set[int]) -> None:
+    """``kept`` of all elements: that of the nearest one that is chosen or a list of links."""
+    for node in _in_order(root):
+        above = node.parent.kept if node.parent is not None else False
+        if _links(node) and id(node) not in sources:
+            node.kept = False
+        else:
+            node.kept = above or id(node) in kept
+
+
+def _sources(root: Node, blocks: list[tuple[Node, str, int]]) -> set[int]:
+    """Lists of links in an article that stand below a heading or between its prose."""
+    out: set[int] = set()
+    before: dict[int, Node] = {}
+    open_lists: dict[int, set[int]] = {}
+    article: dict[int, Node | None] = {}
+    inside: dict[int, Node | None] = {}
+    for node in _in_order(root):
+        above = node.parent
+        article[id(node)] = node if node.tag == "article" else above and article[id(above)]
+        outer = above and inside[id(above)]
+        inside[id(node)] = outer or (node if _links(node) else None)
+    for container, _, _ in blocks:
+        mine, links = article[id(container)], inside[id(container)]
+        if mine is None:
+            continue
+        if links is None:
+            before[id(mine)] = container
+            out |= open_lists.pop(id(mine), set())
+        elif id(mine) in before and article[id(links)] is mine:
+            below = before[id(mine)].tag in _HEADINGS
+            (out if below else open_lists.setdefault(id(mine), set())).add(id(links))
+    for node in _in_order(root):
+        # What is in such a list stays with it.
+        if node.parent is not None and id(node.parent) in out:
+            out.add(id(node))
+    return out
+
+
+def main_text(page: str) -> str:
+    root = read_tree(page)
+    _mark_junk(root)
+    blocks = _collect(root)
+    if not blocks:
+        _unmark(root)
+        blocks = _collect(root)
+    if not blocks:
+        return ""
+    scored = score(root, blocks)
+    if not scored:
+        return "\n".join(text for _, text, links in blocks if links < len(text))
     best = max(scored, key=value)
     top = value(best)
     best = _whole(best)
@@ -377,19 +487,8 @@ def main_text(page: str) -> str:
                 kept.add(id(sibling))
             elif sibling.tag in _BESIDE and density < 0.25:
                 kept.add(id(sibling))
-    out = []
-    for container, text, _ in blocks:
-        up, inside = container, False
-        while up is not None:
-            if up.tag in ("ul", "ol", "table", "div") and up.linked > 0.8 * up.text and not inside:
-                break
-            if id(up) in kept:
-                inside = True
-                break
-            up = up.parent
-        if inside:
-            out.append(text)
-    return "\n".join(out)
+    _decide(root, kept, _sources(root, blocks))
+    return "\n".join(text for container, text, _ in blocks if container.kept)
 
 
 def extract_main_text(
