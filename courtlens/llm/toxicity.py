@@ -18,8 +18,8 @@ counted.
 
 * The trigram counts are taken over all texts, in arrays of 64^3 per task, and added up.
 * At most MAX_LABELLED labelled rows are used, those of least id hash. Their ids (and only ids) are
-  broadcast. Features are counted in Spark; those of at least MIN_ROWS toxic rows are kept, at
-  most MAX_FEATURES by count.
+  broadcast. Features are counted in Spark; those of at least MIN_ROWS toxic rows, and of one in
+  MAX_SHARES of them, are kept.
 * Scoring is one pass over the texts without a shuffle.
 
 Defined cases: null texts are empty and score like a text without any feature; a null id counts
@@ -50,8 +50,9 @@ from courtlens.llm.shingles import (
 )
 
 MAX_LABELLED = 200_000
-MAX_FEATURES = 1 << 18
-MIN_ROWS = 4
+# A feature is kept if MIN_ROWS labelled toxic rows have it, and one in MAX_SHARES of them: at most
+# MAX_SHARES times as many features as such a row has on the average.
+MIN_ROWS, MAX_SHARES = 4, 5000
 HELD_OUT = 5
 # Of the training rows, one in FIT fits the logistic function and is not counted.
 FIT = 5
@@ -128,51 +129,92 @@ _SUBSTITUTE, _REPEATED, _SEPARATOR, _HIDDEN = 1.0, 1.5, 0.5, 3.0
 _JOINERS = b" \t\n\r\x0b\x0c.-_*"
 
 
+def _options(b: int, last: int, inside: bool) -> list[tuple[int, float]]:
+    """(byte meant or -1 for none, cost) for a byte seen after another."""
+    options = [(b, 0.0)]
+    wild = b == 0x2A
+    for letter in LOOKALIKES.get(chr(b), ""):
+        options.append((ord(letter), _HIDDEN if wild else _SUBSTITUTE))
+    if b == last and b < 0x80:
+        options.append((-1, _REPEATED))
+    if inside and b in _JOINERS:
+        options.append((-1, _SEPARATOR))
+    return options
+
+
 def _lattice(seen: bytes) -> list[list[tuple[int, float]]]:
-    """For each byte: (byte meant or -1 for none, cost)."""
-    out, last = [], -1
-    for i, b in enumerate(seen):
-        options = [(b, 0.0)]
-        wild = b == 0x2A
-        for letter in LOOKALIKES.get(chr(b), ""):
-            options.append((ord(letter), _HIDDEN if wild else _SUBSTITUTE))
-        if b == last and b < 0x80:
-            options.append((-1, _REPEATED))
-        if b in _JOINERS and 0 < i < len(seen) - 1:
-            options.append((-1, _SEPARATOR))
-        out.append(options)
-        last = b
-    return out
+    """The options of every byte."""
+    last = b"\xff" + seen
+    return [_options(b, last[i], 0 < i < len(seen) - 1) for i, b in enumerate(seen)]
+
+
+# Bytes with another reading wherever they stand, and those that may be left out inside.
+_OTHERWISE = [chr(b) in LOOKALIKES for b in range(256)]
+_JOINS = [b in _JOINERS for b in range(256)]
+_CLASS = BYTE_CLASS.tolist()
 
 
-def restore_word(seen: bytes, model: np.ndarray) -> bytes:
-    """The likeliest characters behind the bytes seen, lower-cased where ASCII."""
+def _flat(model: np.ndarray) -> list[float]:
+    """The model as a list, whose items cost less to reach one by one."""
+    return model.ravel().tolist()
+
+
+def restore_word(seen: bytes, model: np.ndarray | list[float]) -> bytes:
+    """The likeliest characters behind the bytes seen, lower-cased where ASCII.
+
+    Viterbi search over the last two classes meant. Where one state is left, all paths have what came
+    before in common, and its cost is left out; two plain bytes after the last reading see to that.
+    """
     seen = seen.lower()
-    classes = BYTE_CLASS
-    # State: classes of the last two characters meant; value: cost and what was meant, linked.
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for options in _lattice(seen):
-        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (cost, path) in states.items():
+    flat = model if isinstance(model, list) else _flat(model)
+    size = len(seen)
+    out: list[int] = []
+    # One state is (64 * class before last + class of the last), without cost; more are a dictionary
+    # from such a state to the cost and the bytes meant since they parted.
+    state, states, last = 0, None, -1
+    for i, b in enumerate(seen):
+        plain = not (
+            _OTHERWISE[b] or b == last and b < 0x80 or _JOINS[b] and 0 < i < size - 1
+        )
+        if plain and states is None:
+            out.append(b)
+            state = state % CLASSES * CLASSES + _CLASS[b]
+            last = b
+            continue
+        options = [(b, 0.0)] if plain else _options(b, last, 0 < i < size - 1)
+        last = b
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for key, (cost, path) in states.items() if states is not None else ((state, (0.0, None)),):
+            at = key * CLASSES
             for meant, channel in options:
                 if meant < 0:
-                    key, total, way = (a, b), cost + channel, path
+                    to, total, way = key, cost + channel, path
                 else:
-                    c = int(classes[meant])
-                    key, total, way = (b, c), cost + channel - model[a, b, c], (meant, path)
-                known = after.get(key)
+                    c = _CLASS[meant]
+                    to, total, way = key % CLASSES * CLASSES + c, cost + channel - flat[at + c], (meant, path)
+                known = after.get(to)
                 if known is None or total < known[0]:
-                    after[key] = (total, way)
-        states = after
-    _, path = min(
-        ((cost - model[a, b, 0], path) for (a, b), (cost, path) in states.items()),
-        key=lambda x: x[0],
-    )
+                    after[to] = (total, way)
+        if len(after) == 1:
+            ((state, (_, path)),) = after.items()
+            out += _meant(path)
+            states = None
+        else:
+            states = after
+    if states is not None:
+        _, path = min(
+            ((cost - flat[key * CLASSES], path) for key, (cost, path) in states.items()), key=lambda x: x[0]
+        )
+        out += _meant(path)
+    return bytes(out)
+
+
+def _meant(path: tuple | None) -> list[int]:
     out = []
     while path is not None:
         out.append(path[0])
         path = path[1]
-    return bytes(reversed(out))
+    return out[::-1]
 
 
 _LETTER = byte_table([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
@@ -260,12 +302,15 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _restored(seen: bytes, model: np.ndarray, cache: dict[bytes, bytes]) -> bytes:
+def _restored(seen: bytes, model: np.ndarray | list[float], cache: dict[bytes, bytes]) -> bytes:
     meant = cache.get(seen)
     if meant is None:
         if len(cache) >= 200_000:
             cache.clear()
-        meant = cache[seen] = restore_word(seen, model)
+        meant = restore_word(seen, model)
+        # Longer ones hardly come again, and would make the cache large.
+        if len(seen) <= 64:
+            cache[seen] = meant
     return meant
 
 
@@ -297,9 +342,10 @@ def restore_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, bytes] = {}
+        flat = _flat(model.value)
         for whole in batches:
             for batch in chunks(whole):
-                data, offsets = restore_chunk(*text_buffer(batch), model.value, cache)
+                data, offsets = restore_chunk(*text_buffer(batch), flat, cache)
                 raw = data.tobytes()
                 restored = [raw[a:b].decode() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
@@ -388,9 +434,10 @@ def _feature_rows(model, toxic_only: bool, wanted=None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, bytes] = {}
+        flat = _flat(model.value)
         for whole in batches:
             for batch in chunks(whole):
-                hashes, _, texts, _ = restored_features(*text_buffer(batch), model.value, cache)
+                hashes, _, texts, _ = restored_features(*text_buffer(batch), flat, cache)
                 toxic = np.asarray(batch.column("toxic"), np.int64)
                 if toxic_only:
                     keep = toxic[texts] == 1
@@ -436,11 +483,12 @@ def _measures(model, table, text_in_row: str | None = None):
         gate = np.zeros(1 << 20, bool)
         gate[keys >> np.uint64(44)] = True
         cache: dict[bytes, bytes] = {}
+        flat = _flat(model.value)
         for whole in batches:
             if text_in_row is not None:
                 whole = carried_text(whole, "_row", text_in_row)
             for batch in chunks(whole):
-                hashes, words, texts, long = restored_features(*text_buffer(batch), model.value, cache)
+                hashes, words, texts, long = restored_features(*text_buffer(batch), flat, cache)
                 found = np.flatnonzero(gate[hashes >> np.uint64(44)])
                 at = np.minimum(np.searchsorted(keys, hashes[found]), max(0, len(keys) - 1))
                 found, at = (x[keys[at] == hashes[found]] for x in (found, at)) if len(keys) else (
@@ -536,11 +584,10 @@ def score_toxicity(
     def summed(rows: DataFrame) -> DataFrame:
         return rows.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
+    toxic_rows = train.filter("NOT fits AND toxic = 1").count()
     frequent = (
         summed(counting.mapInArrow(_feature_rows(model, True), schema))
-        .filter(F.col("bad") >= MIN_ROWS)
-        .orderBy(F.col("bad").desc(), "feature")
-        .limit(MAX_FEATURES)
+        .filter(F.col("bad") >= max(MIN_ROWS, toxic_rows // MAX_SHARES))
         .select("feature")
         .toArrow()
     )
