@@ -46,6 +46,8 @@ from courtlens.operators.small_tables import join_small
 
 # Copies of one row, slots of one source, and shards that one row or range stands for at most.
 PIECE, RANGE = 10_000, 4096
+# Rows that a task unfolds, and tasks that do so at most.
+TASK_ROWS, MAX_TASKS = 200_000, 20_000
 ROUNDS = 8
 
 # The modulus of the arithmetic, multipliers, and the characters between words.
@@ -110,10 +112,13 @@ def running_total(rows: DataFrame, value: Column, order: list, keys: tuple[str,
     )
 
 
-def unfolded(rows: DataFrame, count: str, number: str) -> DataFrame:
-    """A row for each of the ``count`` copies of a row, numbered from 0; in two steps."""
+def unfolded(rows: DataFrame, count: str, number: str, total: int) -> DataFrame:
+    """A row for each of the ``count`` copies of a row, numbered from 0; in two steps.
+
+    ``total`` copies are spread by their number: few rows may stand for many.
+    """
     pieces = rows.withColumn("_piece", F.explode(F.expr(f"sequence(0L, ({count} - 1) div {PIECE})")))
-    spread = pieces.repartition("_piece", *rows.columns)
+    spread = pieces.repartition(min(max(1, -(-total // TASK_ROWS)), MAX_TASKS), "_piece", *rows.columns)
     last = f"least({count}, (_piece + 1) * {PIECE}) - 1"
     return spread.withColumn(number, F.explode(F.expr(f"sequence(_piece * {PIECE}, {last})"))).drop("_piece")
 
@@ -196,7 +201,8 @@ def mix_sources(
     near = sources.select("_none", "_name", "source_number", "source_size", "target", "blocks")
     placed = join_small(folded, near, ["_none", "_name"])
     placed = running_total(placed, F.col("size") * F.col("copies"), order, ("source_number",))
-    each = unfolded(placed.drop("_part", "_name"), "copies", "copy").withColumn(
+    n_docs = folded.agg(F.sum("copies")).first()[0] or 0
+    each = unfolded(placed.drop("_part", "_name"), "copies", "copy", n_docs).withColumn(
         "start", F.col("_before") + F.col("copy") * F.col("size")
     )
     each = store(each.drop("_before", "copies", "copy"), "placed")
@@ -244,7 +250,7 @@ def _slots(sources: DataFrame, shard_blocks: int, seed: int) -> tuple[DataFrame,
     near = sources.filter("slots > 0").select("source_number", "slots", "ahead", "blocks", "full")
     total = near.agg(F.sum("slots")).first()[0] or 1
     # Numbered slots of all sources, dealt to places; a shard is a run of places.
-    dealt = unfolded(near, "slots", "number").selectExpr(
+    dealt = unfolded(near, "slots", "number", total).selectExpr(
         "source_number", f"{total}L AS n_all", "0L AS no_key", "ahead + number AS ticket"
     )
     dealt = permuted(dealt, "at", "ticket", "n_all", "no_key", seed, "deal")
@@ -255,7 +261,7 @@ def _slots(sources: DataFrame, shard_blocks: int, seed: int) -> tuple[DataFrame,
     first = running_total(
         counts.withColumn("_part", F.expr(f"shard div {RANGE}")), F.col("n"), ["shard"], ("source_number",)
     )
-    rows = unfolded(join_small(first, near.drop("slots", "ahead"), ["source_number"]).drop("_part"), "n", "number")
+    rows = unfolded(join_small(first, near.drop("slots", "ahead"), ["source_number"]).drop("_part"), "n", "number", total)
     rows = rows.selectExpr(
         "shard", "source_number", "_before + number AS slot", "full", "greatest(full, 1L) AS n_full",
         "(_before + number) % blocks AS place", f"source_number % {P} AS _key",
