@@ -49,9 +49,9 @@ MIN_GRAM, MAX_GRAM = 2, 5
 # A gram is extended if it occurs more than ``frequent`` times: FREQUENT, or one in DICTIONARY.
 FREQUENT, DICTIONARY = 100, 100_000
 # Words that a task counts before it hands its counts on, and pairs that one pass compares.
-TASK_WORDS, PAIRS = 1 << 20, 1 << 19
+TASK_WORDS, PAIRS = 1 << 18, 1 << 17
 # A list is cut into parts of at most this many bytes of words, and words.
-PART_BYTES, PART_WORDS = 1 << 22, 4096
+PART_BYTES, PART_WORDS = 1 << 21, 4096
 
 # The polynomial of CRC-32, and the marks around a word.
 _POLYNOMIAL = 0xEDB88320
