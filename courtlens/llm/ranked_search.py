@@ -42,6 +42,8 @@ from courtlens.llm.text_runs import find_runs, run_strings
 BLOCK_TERMS = 500_000
 # Cells of one dense matrix: (classes x words) or (words x items).
 CELLS = 1 << 21
+# Whole numbers below this are exact as doubles, whose products are faster.
+EXACT = 1 << 53
 # Shares of the partitions in which the members of a class are first chosen.
 SHARES = 64
 
@@ -159,9 +161,8 @@ def _columns(items: np.ndarray, words: np.ndarray, counts: np.ndarray) -> list[t
 def _best_classes(weights: np.ndarray, items: np.ndarray, words: np.ndarray, counts: np.ndarray, top: int):
     """Tasks that score classes, arriving by ascending first member, and keep each item's best."""
     groups = _columns(items, words, counts)
-    # Scores are sums of whole numbers; as doubles they are exact below 2^53.
     largest = max((m.sum(axis=0).max() for _, _, m in groups), default=0) * weights.max(initial=0) * (SCALE // TF)
-    exact = largest < 1 << 53
+    exact = largest < EXACT
 
     def score(bags: pa.Array, norms: np.ndarray):
         """Scores of the classes, item group by item group."""

@@ -1,0 +1,140 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from courtlens.llm import spelling
+from courtlens.llm.spelling import near_words, spelling_variants
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def brute_words(rows, every=97, least=5, occurrences=3):
+    counts = Counter()
+    for i, text in rows:
+        for run in RUN.findall(text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if every and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least and n >= occurrences}
+
+
+def is_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(rows, **options):
+    words = brute_words(rows, **options)
+    near = {a: [b for b in words if is_near(a, b)] for a in words}
+    form = {}
+    for a, others in near.items():
+        best = min(others, key=lambda b: (-words[b], b), default=None)
+        form[a] = best if best is not None and words[best] >= 2 * words[a] else None
+    out = []
+    for a in words:
+        root = a
+        while form[root] is not None:
+            root = form[root]
+        out.append((a, form[a], root, words[a], len(near[a]), words.get(form[a])))
+    return sorted(out)
+
+
+def got(docs, **options):
+    rows = spelling_variants(docs, **options)
+    return sorted(tuple(r) for r in rows.select("word", "form", "root", "n", "n_near", "form_n").collect())
+
+
+def misspelt(rng, word):
+    at, letter = rng.randrange(len(word)), rng.choice("abeté")
+    return rng.choice([word[:at] + word[at + 1 :], word[:at] + letter + word[at + 1 :], word[:at] + letter + word[at:]])
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    stems = ["".join(rng.choice(["ra", "tion", "en", "st", "é", "a", "ll", "o"]) for _ in range(rng.randint(2, 5))) for _ in range(250)]
+    texts = []
+    for i in range(300):
+        words = []
+        for _ in range(rng.randint(0, 120)):
+            word = stems[min(int(rng.expovariate(0.02)), len(stems) - 1)]
+            words.append(misspelt(rng, word) if rng.random() < 0.2 else word)
+        texts.append((i, rng.choice([" ", ", ", "\n7"]).join(w.upper() if rng.random() < 0.1 else w for w in words)))
+    return texts
+
+
+def test_words_forms_and_roots_by_brute_force(spark, corpus):
+    docs = spark.createDataFrame([(*r, "x", 1) for r in corpus], "doc_id bigint, text string, word string, n int").repartition(6)
+    want = brute(corpus)
+    assert got(docs) == want
+    assert sum(r[1] is not None for r in want) > 50 and any(r[1] not in (None, r[2]) for r in want)
+    assert got(docs, delete_every=0, occurrences=1) == brute(corpus, every=0, occurrences=1)
+
+
+def test_odd_cases(docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert got(docs) == brute(rows)
+
+
+def test_long_lists_are_cut(spark, corpus, monkeypatch):
+    docs = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    want = brute(corpus, every=0, occurrences=1)
+    monkeypatch.setattr(spelling, "PART_WORDS", 16)
+    monkeypatch.setattr(spelling, "FREQUENT", 10_000)
+    monkeypatch.setattr(spelling, "PAIRS", 100)
+    monkeypatch.setattr(spelling, "PART_BYTES", 2000)
+    assert got(docs, delete_every=0, occurrences=1) == want
+
+
+def test_a_short_dictionary_gives_the_same(spark, corpus, monkeypatch):
+    docs = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    monkeypatch.setattr(spelling, "FREQUENT", 2)
+    assert got(docs) == brute(corpus)
+
+
+def test_very_long_words(spark):
+    base = "xyz" * 20_000
+    words = [base, base + "a", "b" + base, base[:30_000] + "q" + base[30_001:], base[:-2], "short", "shorts"]
+    frame = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], "word string, n bigint")
+    pairs = {frozenset((r["a"], r["b"])) for r in near_words(frame).collect()}
+    assert pairs == {frozenset((a, b)) for a in words for b in words if a < b and is_near(a, b)}
+
+
+def test_an_edit_changes_no_more_grams_than_the_bound():
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(5, 12))) for _ in range(300)]
+    grams = np.unique([(ord(a) << 8) | ord(b) for a in "\x01ab\xe9" for b in "ab\x02"])
+    def bags(some):
+        data, starts = spelling._marked(pa.array(some))
+        word, place, code, length, _ = spelling.decompose(data, starts, grams, np.ones(len(grams)))
+        bound = spelling.affected(word, place, length, np.diff(starts))
+        return [Counter(code[word == i].tolist()) for i in range(len(some))], bound
+    other = [misspelt(rng, w) for w in words]
+    (a, bound), (b, _) = bags(words), bags(other)
+    for w, o, x, y, k in zip(words, other, a, b, bound):
+        if is_near(w, o):
+            assert sum((x & y).values()) >= len(w) + 1 - k and k <= 5
+
+
+def test_checksums():
+    texts = ["", "abc", "éa", "x" * 300]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(t.encode()) for t in texts])
+    starts = ends - [len(t.encode()) for t in texts]
+    before = np.array([zlib.crc32(b"12:")] * 4, np.uint32)
+    assert spelling.run_checksums(data, starts, ends, before).tolist() == [zlib.crc32(f"12:{t}".encode()) for t in texts]
+
+
+def test_empty_and_too_short(spark, no_docs):
+    assert got(no_docs) == []
+    with pytest.raises(ValueError):
+        spelling_variants(no_docs, least=4)
