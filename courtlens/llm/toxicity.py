@@ -53,6 +53,8 @@ MAX_LABELLED = 200_000
 # A feature is kept if MIN_ROWS labelled toxic rows have it, and one in MAX_SHARES of them: at most
 # MAX_SHARES times as many features as such a row has on the average.
 MIN_ROWS, MAX_SHARES = 4, 5000
+# Counts of features that a task holds.
+TASK_FEATURES = 1 << 20
 HELD_OUT = 5
 # Of the training rows, one in FIT fits the logistic function and is not counted.
 FIT = 5
@@ -226,14 +228,27 @@ _DIGITS = byte_table([(0x30, 0x39)])
 _MONEY = byte_table([(0x24, 0x24), (0x40, 0x40)])
 
 
+def _counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Flagged bytes of each range; flags are few, and ranges ascend and do not overlap."""
+    at = np.flatnonzero(flags)
+    of = np.searchsorted(starts, at, "right") - 1
+    inside = (of >= 0) & (at < ends[np.maximum(of, 0)])
+    return np.bincount(of[inside], minlength=len(starts))
+
+
+def _sums(flags: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=sums[1:])
+    return sums
+
+
 def suspicious(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges (starts, ends) that may be obfuscated, in order and apart."""
     if not len(words.starts):
         return words.starts, words.ends
 
     def total(flags: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(flags)])
-        return sums[words.ends] - sums[words.starts]
+        return _counts(flags, words.starts, words.ends)
 
     lower = data | 0x20
     letter, odd = _LETTER[data], _ODD[data]
@@ -246,7 +261,8 @@ def suspicious(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     after[words.ends - 1], before[words.starts] = False, False
     digits = odd & ~byte_table([(0x21, 0x2F), (0x3A, 0x40), (0x7B, 0x7E)])[data]
     beside = odd & after | digits & before
-    letters, dots = total(letter), total(_DOT[data])
+    sums, dots = _sums(letter), total(_DOT[data])
+    letters = sums[words.ends] - sums[words.starts]
     size = words.ends - words.starts
     # A run of three letters that began in an earlier word is no triple of this one.
     flagged = (total(triple) > 0) & (size > 2)
@@ -274,8 +290,7 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     size = ends - starts
 
     def total(flags: np.ndarray, first: np.ndarray = starts, last: np.ndarray = ends) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(flags)])
-        return sums[last] - sums[first]
+        return _counts(flags, first, last)
 
     lower = np.where(_PLAIN[data], data | 0x20, data)
     double = np.zeros(len(data), bool)
@@ -284,8 +299,10 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     other = total(odd) > 0
     other |= total(double, np.minimum(starts + 1, ends), ends) > 0
     other |= total(_DOT[data], starts + 1, np.maximum(ends - 1, starts + 1)) > 0
-    marks_only = (total(letter | _DIGITS[data]) == 0) & (total(_MONEY[data]) > 0) & (size > 1)
-    flagged = other & (total(letter) > 0) | marks_only
+    sums = _sums(letter)
+    letters = sums[ends] - sums[starts]
+    marks_only = (letters + total(_DIGITS[data]) == 0) & (total(_MONEY[data]) > 0) & (size > 1)
+    flagged = other & (letters > 0) | marks_only
     # Words of one or two letters, the last perhaps with a mark, three or more in a row.
     char = letter | odd
     short = (size <= 3) & char[starts] & ((size < 2) | char[np.minimum(starts + 1, ends - 1)] | ~letter[ends - 1])
@@ -295,7 +312,7 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     heads = np.flatnonzero(~same)
     tails = np.append(heads[1:], len(short)) - 1
     # Runs of single letters are restored in the text.
-    run = short[heads] & (tails - heads >= 2) & (np.add.reduceat(total(letter) > 1, heads) > 0)
+    run = short[heads] & (tails - heads >= 2) & (np.add.reduceat(letters > 1, heads) > 0)
     return (
         np.concatenate([starts[flagged], starts[heads[run]]]),
         np.concatenate([ends[flagged], ends[tails[run]]]),
@@ -429,37 +446,51 @@ def restored_features(
     return tuple(np.concatenate(x) for x in zip(found, more))
 
 
-def _feature_rows(model, toxic_only: bool, wanted=None):
-    """Distinct features of each text, counted per task as (feature, toxic rows, other rows)."""
+def _feature_rows(model):
+    """Distinct features of each text, counted as (feature, toxic rows, other rows).
+
+    A task hands its counts on whenever it holds TASK_FEATURES of them.
+    """
+
+    def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        hashes, bad, good = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+        if not len(heads):
+            return hashes, bad, good
+        return hashes[heads], np.add.reduceat(bad[order], heads), np.add.reduceat(good[order], heads)
+
+    def rows(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        hashes, bad, good = part
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes.view(np.int64)), pa.array(bad), pa.array(good)], ["feature", "bad", "good"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, bytes] = {}
         flat = _flat(model.value)
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for whole in batches:
             for batch in chunks(whole):
                 hashes, _, texts, _ = restored_features(*text_buffer(batch), flat, cache)
                 toxic = np.asarray(batch.column("toxic"), np.int64)
-                if toxic_only:
-                    keep = toxic[texts] == 1
-                else:
-                    table = wanted.value
-                    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-                    keep = table[at] == hashes
-                hashes, texts = hashes[keep], texts[keep]
                 order = np.lexsort((texts, hashes))
                 hashes, texts = hashes[order], texts[order]
                 new = np.ones(len(hashes), bool)
                 new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
                 hashes, label = hashes[new], toxic[texts[new]]
-                heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(
-                    hashes
-                ) else np.empty(0, np.int64)
-                bad = np.add.reduceat(label, heads) if len(heads) else np.empty(0, np.int64)
-                size = np.diff(np.append(heads, len(hashes))) if len(heads) else bad
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[heads].view(np.int64)), pa.array(bad), pa.array(size - bad)],
-                    ["feature", "bad", "good"],
-                )
+                held.append(summed([(hashes, label, 1 - label)]))
+                size += len(held[-1][0])
+                if size > TASK_FEATURES:
+                    held = [summed(held)]
+                    size = len(held[0][0])
+                    if size > TASK_FEATURES // 2:
+                        yield rows(held[0])
+                        held, size = [], 0
+        if held:
+            yield rows(summed(held))
 
     return run
 
@@ -581,26 +612,18 @@ def score_toxicity(
     counting = labelled.filter("NOT fits").select("_text", "toxic")
     schema = "feature bigint, bad bigint, good bigint"
 
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-
     toxic_rows = train.filter("NOT fits AND toxic = 1").count()
-    frequent = (
-        summed(counting.mapInArrow(_feature_rows(model, True), schema))
+    counted = (
+        counting.mapInArrow(_feature_rows(model), schema)
+        .groupBy("feature")
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .filter(F.col("bad") >= max(MIN_ROWS, toxic_rows // MAX_SHARES))
-        .select("feature")
         .toArrow()
     )
-    known = np.sort(frequent["feature"].to_numpy().view(np.uint64))
-    keys, weights = known, np.empty(0)
-    if len(known):
-        counted = summed(
-            counting.mapInArrow(_feature_rows(model, False, share(known)), schema)
-        ).toArrow()
-        bound = wilson(counted["bad"].to_numpy(), counted["good"].to_numpy())
-        hashes = counted["feature"].to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        keys, weights = hashes[order], bound[order]
+    hashes = counted["feature"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    keys = hashes[order]
+    weights = wilson(counted["bad"].to_numpy(), counted["good"].to_numpy())[order]
     fitted = share((keys, weights))
     measure = _measures(model, fitted)
     # At most MAX_LABELLED rows of four numbers.
