@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +84,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return stored
 
 
+def stored_parts(df: DataFrame, column: str, name: str) -> Callable[[object], DataFrame]:
+    """``df`` written as ``materialize`` does, split by the values of ``column``.
+
+    The result takes a value and gives its rows, without the column; a value may have none.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/courtlens/{uuid.uuid4().hex}/{name}"
+    df.write.partitionBy(column).parquet(path)
+    whole = spark.read.schema(df.schema).parquet(path)
+
+    def part(value: object) -> DataFrame:
+        rows = whole.filter(F.col(column) == value).drop(column)
+        rows.stored_at = path
+        return rows
+
+    return part
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete what ``materialize`` wrote for these tables, which nothing reads any more."""
     for table in tables:

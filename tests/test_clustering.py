@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from courtlens.operators import kmeans, silhouette as silhouette_module
+from courtlens.operators import kmeans, lloyd_bounds, silhouette as silhouette_module
 from courtlens.operators.agreement import adjusted_rand_index
 from courtlens.operators.kmeans import assign_clusters, fit_kmeans
 from courtlens.operators.points import ALL, pack_points
@@ -381,3 +382,88 @@ def test_input_checks(spark):
         prepare_clustering_data(scores, features.filter("player_id <> 'p0003'"))
     # players that only have features vanish silently
     assert prepare_clustering_data(scores.filter("player_id <> 'p0003'"), features).count() == 71
+
+
+@pytest.mark.parametrize("k", [2, 7])
+def test_steps_with_bounds_have_the_centres_of_plain_steps(spark, k):
+    rng = np.random.default_rng(k)
+    x = np.concatenate([rng.normal(c, 1.0, size=(150, 2)) for c in ([0, 0], [4, 0], [0, 5])])
+    df = frame(spark, np.concatenate([x, x[:40]]), team=["a", "b"] * 245).repartition(5)
+    ks = {"a": [k, k + 1], "b": [k]}
+    plain, _ = fit(df, XY, ks, "team", seeds=(1, 2), n_init=3, carry_bounds=False)
+    carried, _ = fit(df, XY, ks, "team", seeds=(1, 2), n_init=3, carry_bounds=True)
+    assert [(m.group, m.k, m.seed) for m in plain] == [(m.group, m.k, m.seed) for m in carried]
+    for a, b in zip(plain, carried):
+        # Restarts that end alike may differ in the last digit of their cost, so either may win.
+        assert a.centres == pytest.approx(b.centres, abs=1e-8)
+        assert a.cost == pytest.approx(b.cost, rel=1e-9)
+
+
+def test_steps_with_bounds_refill_emptied_centres(spark):
+    x = np.concatenate([np.random.default_rng(0).normal(0, 1, size=(60, 2)), [[40.0, 40.0]]])
+    starts = {(ALL, 3, 1): [[0.0, 0.0], [500.0, 0.0], [0.5, 0.5]]}
+    models = [
+        fit(frame(spark, x), XY, {ALL: [3]}, seeds=(1,), starts=starts, carry_bounds=carry)[0][0]
+        for carry in (False, True)
+    ]
+    assert models[0].centres == pytest.approx(models[1].centres, abs=1e-9) and len(models[1].centres) == 3
+    assert models[0].iterations == models[1].iterations
+
+
+def test_settled_points_cost_one_comparison():
+    rng = np.random.default_rng(5)
+    x, labels_of = blobs([(8 * i, 8 * j) for i in range(8) for j in range(8)], n=40)
+    centres = np.array([x[labels_of == c].mean(0) for c in range(64)])[None] + 0.3
+    labels, upper, lower = (a.reshape(-1, 1) for a in lloyd_bounds.measured(x, np.broadcast_to(centres, (len(x), 64, 2))))
+    spent = []
+    for _ in range(4):
+        moved = centres + rng.normal(0, 0.05, centres.shape)
+        shifts = np.sqrt(((moved - centres) ** 2).sum(2))
+        labels, upper, lower = lloyd_bounds.settle(x, labels, upper, lower, moved, shifts, spent.append)
+        centres = moved
+        want, least, other = lloyd_bounds.measured(x, np.broadcast_to(centres, (len(x), 64, 2)))
+        assert (labels[:, 0] == want).all()
+        assert (upper[:, 0] >= least - 1e-12).all() and (lower[:, 0] <= other + 1e-12).all()
+    assert sum(spent) < 0.02 * 4 * len(x) * 64
+
+
+def test_clusters_that_bounds_rule_out_cost_no_distances():
+    x, labels = blobs([(10 * i, 10 * j) for i in range(6) for j in range(6)], n=20, seed=3)
+    centres = np.array([x[labels == c].mean(0) for c in range(36)])
+    variances = np.array([((x[labels == c] - centres[c]) ** 2).sum(1).mean() for c in range(36)])
+    needed = silhouette_module.needed_clusters(x, labels, centres, variances)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    means = np.array([d[:, labels == c].mean(1) for c in range(36)]).T
+    means[np.arange(len(x)), labels] = np.inf
+    # Its own cluster and the nearest other are always among those that a point asks for.
+    assert needed[np.arange(len(x)), labels].all() and needed[np.arange(len(x)), means.argmin(1)].all()
+    assert needed.sum(1).mean() < 8
+    apart = silhouette_module.needed_clusters(x, np.where(labels == 3, -1, labels), centres, np.where(np.arange(36) == 5, np.nan, variances))
+    assert not apart[labels == 3].any() and not apart[:, 5].any()
+
+    # The kernel itself, on one cell of all points.
+    n, rows = len(x), []
+    spent = []
+    kernel = silhouette_module._cell_kernel({"g": [(0, 0, 36)]}, {"g": 36}, 2, spent.append)
+    for role, ids, at, weight, label in (
+        (-1, np.arange(36), centres, variances, np.zeros(36)),
+        (0, np.arange(n), x, np.ones(n), labels),
+        (1, np.arange(n), x, np.ones(n), labels),
+    ):
+        rows.append(
+            pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(ids), role, np.int32)), pa.array(np.zeros(len(ids), np.int32)),
+                    pa.array(["g"] * len(ids)), pa.array(ids), pa.array(at[:, 0]), pa.array(at[:, 1]),
+                    pa.array(np.asarray(weight, float)), pa.array([[int(v)] for v in label], pa.list_(pa.int32())),
+                ],
+                ["role", "block", "grp", "id", "x0", "x1", "weight", "labels"],
+            )
+        )
+    out = list(kernel(iter(rows)))
+    assert sum(spent) < n * n / 2
+    sums = np.concatenate([np.asarray(b.column("sums").flatten()).reshape(-1, 36) for b in out])[1:]
+    exact = np.array([d[:, labels == c].sum(1) for c in range(36)]).T
+    asked = np.isfinite(sums)
+    # A point's distance to itself is the root of a rounding error.
+    assert sums[asked] == pytest.approx(exact[asked], abs=1e-5) and (asked == needed).all()
