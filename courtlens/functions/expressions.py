@@ -95,8 +95,12 @@ def is_missing(name: str, df: DataFrame) -> Column:
     return missing | F.isnan(name) if isinstance(kind, (T.DoubleType, T.FloatType)) else missing
 
 
+def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if c not in df.columns]
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], message: str) -> None:
     """Raise ValueError naming the columns that are missing from ``df``."""
-    missing = [c for c in columns if c not in df.columns]
+    missing = missing_columns(df, columns)
     if missing:
         raise ValueError(message + ", ".join(missing))

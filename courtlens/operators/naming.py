@@ -22,10 +22,13 @@ from courtlens.functions.naming_rules import (
 )
 from courtlens.functions.expressions import is_missing, nan_to_null
 from courtlens.operators.checks import check_one_to_one
-from courtlens.operators.small_tables import join_small, local_frame
+from courtlens.operators.small_tables import BROADCAST_ROWS, join_small, local_frame
 from courtlens.schema import PLAYER, PLAYSTYLE_FEATURES
 
 STYLE_KEYS = ["skill_group", "playstyle_cluster"]
+# Names of few clusters, lowest first; others are numbered.
+_FEW = {2: [DEVELOPING, HIGHER], 3: [DEVELOPING, INTERMEDIATE, HIGHER]}
+_INCOMPLETE = "Some players have no '{}', so the averages that order the skill clusters would not be theirs."
 
 
 def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_score") -> DataFrame:
@@ -35,23 +38,22 @@ def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_s
     """
     if rank_by not in skill_clustered.columns:
         raise ValueError(
-            f"There is no column '{rank_by}' to rank the skill clusters by."
+            f"Skill clusters are named in the order of '{rank_by}', a column these players do not have."
         )
-    # A row per cluster comes back; the check and the averages share the pass. Clusters are few: a
-    # K-Means numbers them up to K.
     averages = skill_clustered.groupBy("skill_cluster").agg(
         F.avg(rank_by).alias("average"), F.count_if(is_missing(rank_by, skill_clustered)).alias("missing")
-    ).toArrow()
-    if any(averages.column("missing").to_pylist()):
-        raise ValueError(f"Some players have no '{rank_by}'; clusters cannot be ranked by it.")
+    )
+    # The check and the averages share the pass. Few clusters come back; many are ranked in Spark.
+    head = averages.limit(BROADCAST_ROWS + 1).toArrow()
+    if head.num_rows > BROADCAST_ROWS:
+        return rank_skill_clusters(skill_clustered, rank_by)
+    if any(head.column("missing").to_pylist()):
+        raise ValueError(_INCOMPLETE.format(rank_by))
     ranked = sorted(
-        (r["average"], r["skill_cluster"])
-        for r in averages.to_pylist()
-        if r["skill_cluster"] is not None
+        (r["average"], r["skill_cluster"]) for r in head.to_pylist() if r["skill_cluster"] is not None
     )
-    fixed = {2: [DEVELOPING, HIGHER], 3: [DEVELOPING, INTERMEDIATE, HIGHER]}
     numbered = [f"Performance Group {i + 1}" for i in range(len(ranked))]
-    names = fixed.get(len(ranked), numbered)
+    names = _FEW.get(len(ranked), numbered)
     kind = skill_clustered.schema["skill_cluster"].dataType.simpleString()
     return local_frame(
         skill_clustered.sparkSession,
@@ -60,6 +62,40 @@ def interpret_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_s
     )
 
 
+def rank_skill_clusters(skill_clustered: DataFrame, rank_by: str = "skill_score") -> DataFrame:
+    """As ``interpret_skill_clusters``, without a job: whoever reads the names runs the check, too.
+
+    Averages are sorted in ranges; a rank is the place in its range after the counts of those before.
+    """
+    averages = (
+        skill_clustered.groupBy("skill_cluster")
+        .agg(F.avg(rank_by).alias("average"), F.count_if(is_missing(rank_by, skill_clustered)).alias("missing"))
+        .withColumn(
+            "missing",
+            F.when(F.col("missing") > 0, F.raise_error(F.lit(_INCOMPLETE.format(rank_by))).cast("long")).otherwise(0),
+        )
+        .filter((F.col("missing") == 0) & F.col("skill_cluster").isNotNull())
+    )
+    ranges = averages.repartitionByRange("average", "skill_cluster").withColumn("_range", F.spark_partition_id())
+    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.agg(
+        F.map_from_entries(F.collect_list(F.struct("_range", "_n"))).alias("counts"), F.sum("_n").alias("clusters")
+    )
+    known = ranges.withColumn("_all", totals.select(F.struct("counts", "clusters")).scalar())
+    before = F.aggregate(
+        F.map_values(F.map_filter(F.col("_all.counts"), lambda r, _: r < F.col("_range"))),
+        F.lit(0).cast("long"),
+        lambda x, n: x + n,
+    )
+    inside = F.row_number().over(W.partitionBy("_range").orderBy("average", "skill_cluster"))
+    ranked = known.withColumn("_rank", before + inside)
+    name = F.concat(F.lit("Performance Group "), F.col("_rank").cast("string"))
+    for number, names in _FEW.items():
+        few = F.element_at(F.array(*map(F.lit, names)), F.least("_rank", F.lit(number)).cast("int"))
+        name = F.when(F.col("_all.clusters") == number, few).otherwise(name)
+    return ranked.select("skill_cluster", name.alias("skill_group"))
+
+
 def apply_skill_cluster_labels(skill_clustered: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``skill_group``; clusters without a label get NULL."""
     return join_small(skill_clustered, labels, ["skill_cluster"], how="left").select(

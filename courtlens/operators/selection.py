@@ -85,6 +85,12 @@ class Sweep:
         return centres_frame(df.sparkSession, list(self.models.values()), self.features)
 
 
+def small_groups(df: DataFrame, group_col: str = "skill_group", min_rows: int = 3) -> DataFrame:
+    """(group, players): groups that have too few players for several K."""
+    counts = df.filter(F.col(group_col).isNotNull()).groupBy(group_col).agg(F.count(F.lit(1)).alias("players"))
+    return counts.filter(F.col("players") < min_rows)
+
+
 def sweep_k(
     df: DataFrame,
     features: Sequence[str],

@@ -1005,3 +1005,16 @@ FROM raw_centroids JOIN archetypes USING (skill_group, playstyle_cluster)""",
   {rounded(["skill_score", *FINAL_REPORT_FEATURES])} FROM final ORDER BY player_id LIMIT 20""",
     ),
 }
+
+# Queries that come to a result of another one by another way.
+ORACLE_SQL |= {
+    "player_profiles_appended": ORACLE_SQL["player_profiles"],
+    "scaler_parameters_merged": ORACLE_SQL["scaler_parameters"],
+    "clustering_input_bucketed": ORACLE_SQL["clustering_input"],
+    "skill_group_names_ranked": ORACLE_SQL["skill_group_names"],
+    "playstyle_k_selection_by_group": ORACLE_SQL["playstyle_k_selection"],
+    "missing_columns": f"""SELECT feature FROM (SELECT unnest({["c_custkey", *SKILL_FEATURES]}) AS feature)
+WHERE feature NOT IN (SELECT unnest(['c_custkey', 'aggression_mean']) WHERE (SELECT count(*) FROM customer) >= 0)""",
+    "small_groups": """SELECT c_nationkey || '/' || floor(c_acctbal / 1000)::BIGINT AS skill_group, count(*) AS players
+FROM customer GROUP BY 1 HAVING count(*) < 3""",
+}

@@ -6,17 +6,21 @@ SQL, so that the comparison does not depend on random starts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtlens.functions import expressions
 from courtlens.functions.expressions import feature_array, nearest_index, quoted
 from courtlens.operators import (
     agreement,
     components,
     features,
     fitted,
+    group_sweep,
+    moments,
     naming,
     profiles,
     selection,
@@ -27,7 +31,7 @@ from courtlens.operators import (
 from courtlens.plans import player_report
 from courtlens.functions.naming_rules import DEVELOPING, HIGHER, INTERMEDIATE
 from courtlens.schema import K_MAX, K_MIN, PLAYER, PLAYSTYLE_FEATURES, SKILL_FEATURES
-from courtlens.sources import order_logs
+from courtlens.sources import order_logs, player_tables
 
 # Sums run in any order, so doubles are compared rounded. Averages of simple fractions are often
 # exact multiples of 1/128 or 1/256; 8 decimals keep those off the rounding edge.
@@ -180,6 +184,13 @@ def player_profiles(spark, sf_dir):
     return _rounded(_profiles(spark, sf_dir))
 
 
+def player_profiles_appended(spark, sf_dir):
+    """Profiles out of states of three disjoint parts of the matches, none of which is read twice."""
+    logs = order_logs.match_logs(spark, sf_dir)
+    parts = [moments.player_states(logs.filter(F.col("match_id") % 3 == i)) for i in range(3)]
+    return _rounded(moments.profiles_of_states(moments.merge_player_states(*parts)))
+
+
 def skill_scores(spark, sf_dir):
     scored = skill.calculate_skill_score(_profiles(spark, sf_dir))
     return scored.select(PLAYER, "skill_score")
@@ -242,6 +253,14 @@ def scaler_parameters(spark, sf_dir):
     return _rounded(features.scale_ml_features(_oriented(spark, sf_dir))[1])
 
 
+def scaler_parameters_merged(spark, sf_dir):
+    """Scaling parameters out of states of the players: two parts merged, one of them added and taken back."""
+    oriented = _oriented(spark, sf_dir)
+    even, odd = (moments.fit_states(oriented.filter(F.col(PLAYER) % 2 == i), SKILL_FEATURES) for i in (0, 1))
+    whole = moments.merge_fit_states(even, odd, odd)
+    return _rounded(moments.scaler_of_states(moments.take_back(whole, odd)))
+
+
 def scaling_summary(spark, sf_dir):
     return _rounded(summaries.scaling_summary(_scaled(spark, sf_dir)))
 
@@ -253,6 +272,31 @@ def clustering_input(spark, sf_dir):
     return _rounded(_clustering_data(spark, sf_dir))
 
 
+def clustering_input_bucketed(spark, sf_dir):
+    """The same from tables in buckets of players, which are checked and joined without a shuffle."""
+    scored = _scored(spark, sf_dir).select(PLAYER, "skill_score")
+    name = f"players_{uuid.uuid4().hex}"
+    left = player_tables.save_by_player(scored, f"{name}_scored", 8)
+    right = player_tables.save_by_player(_scaled(spark, sf_dir), f"{name}_scaled", 8)
+    return _rounded(selection.prepare_clustering_data(left, right))
+
+
+def missing_columns(spark, sf_dir):
+    """Skill features that the order tables themselves do not have."""
+    found = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "orders")}
+    frame = found["customer"].select("c_custkey", F.col("c_acctbal").alias("aggression_mean"))
+    rows = [(c,) for c in expressions.missing_columns(frame, ["c_custkey", *SKILL_FEATURES])]
+    return spark.createDataFrame(rows, "feature string")
+
+
+def small_groups(spark, sf_dir):
+    """Groups of too few players for several K: players by nation and thousands of their balance."""
+    players = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.concat_ws("/", F.col("c_nationkey"), F.floor(F.col("c_acctbal") / 1000)).alias("skill_group")
+    )
+    return selection.small_groups(players)
+
+
 def clustering_input_summary(spark, sf_dir):
     summary = summaries.clustering_input_summary(_clustering_data(spark, sf_dir))
     return summary.select("players", "features", F.explode("feature_names").alias("feature"))
@@ -296,11 +340,20 @@ def nearest_centre(spark, sf_dir):
 
 def skill_group_names(spark, sf_dir):
     """Names for the two-, three- and four-cluster cases."""
+    return _skill_group_names(spark, sf_dir, naming.interpret_skill_clusters)
+
+
+def skill_group_names_ranked(spark, sf_dir):
+    """The same, ranked in Spark."""
+    return _skill_group_names(spark, sf_dir, naming.rank_skill_clusters)
+
+
+def _skill_group_names(spark, sf_dir, interpret):
     rated = order_logs.rally_points(spark, sf_dir)
     named = None
     for clusters in (2, 3, 4):
         clustered = _with_skill_cluster(spark, sf_dir, rated, clusters)
-        labels = naming.interpret_skill_clusters(clustered, "rally_points").select(
+        labels = interpret(clustered, "rally_points").select(
             F.lit(clusters).alias("clusters"), "skill_cluster", "skill_group"
         )
         named = labels if named is None else named.unionByName(labels)
@@ -409,6 +462,19 @@ def playstyle_clusters(spark, sf_dir):
     return selection.cluster_playstyles(group_data, best_k, features=names, sweep=sweep)[2]
 
 
+def playstyle_k_selection_by_group(spark, sf_dir):
+    """The same selection by tasks that take a group each, the models as a table."""
+    data, names = _component_input(spark, sf_dir)
+    given = fixed_starts(len(names))
+
+    def starts(group):
+        return {(group, k, SEED): given[(group, k, SEED)] for k in range(K_MIN, K_MAX + 1)}
+
+    sweep = group_sweep.sweep_groups(data, names, starts=starts, max_iter=STEPS)
+    columns = ["seed", "k", "clusters", "silhouette", "cost", "selected"]
+    return _rounded(sweep.models.select(F.col("grp").alias("skill_group"), *columns), COMPONENT_DIGITS)
+
+
 def one_group_selection(spark, sf_dir):
     """K selection of a single skill group."""
     data, names = _component_input(spark, sf_dir)
@@ -529,6 +595,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for fn in [
         match_features,
         player_profiles,
+        player_profiles_appended,
         skill_scores,
         skill_tiers,
         skill_tiers_with_missing,
@@ -579,5 +646,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         final_profiles,
         final_profile_samples,
         player_archetypes,
+        scaler_parameters_merged,
+        clustering_input_bucketed,
+        skill_group_names_ranked,
+        playstyle_k_selection_by_group,
+        missing_columns,
+        small_groups,
     ]
 }
