@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +11,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlens.operators.small_tables import checkpoint_dir
+from courtlens.operators import small_tables
+from courtlens.operators.small_tables import materialize
 
 # Bytes of text that one numpy pass handles. Larger texts get a pass of their own.
 CHUNK_BYTES = 1 << 18
 
+# Copies of one row that are unfolded together, rows that a task unfolds, tasks that do so at most.
+PIECE, TASK_ROWS, MAX_TASKS = 10_000, 200_000, 20_000
+
 # The steps of the 64-bit mixer.
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -26,14 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that a lost executor costs a re-read."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/courtlens/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    stored.stored_at = path
-    return stored
+store = materialize
 
 
 def discard(*tables: DataFrame) -> None:
@@ -42,13 +38,10 @@ def discard(*tables: DataFrame) -> None:
     The shuffle files of the jobs that wrote them go as soon as the driver collects its garbage,
     which is asked for here: on a cluster they hold the local disks of all executors.
     """
-    for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+    small_tables.discard(*tables)
     if tables:
         gc.collect()
-        spark._jvm.System.gc()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -72,6 +65,17 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_id"]) & (left["_h"] == right["_h"])
 
 
+def unfolded(rows: DataFrame, count: str, number: str, total: int) -> DataFrame:
+    """A row for each of the ``count`` copies of a row, numbered from 0; in two steps.
+
+    ``total`` copies are spread by their number: few rows may stand for many.
+    """
+    pieces = rows.withColumn("_piece", F.explode(F.expr(f"sequence(0L, ({count} - 1) div {PIECE})")))
+    spread = pieces.repartition(min(max(1, -(-total // TASK_ROWS)), MAX_TASKS), "_piece", *rows.columns)
+    last = f"least({count}, (_piece + 1) * {PIECE}) - 1"
+    return spread.withColumn(number, F.explode(F.expr(f"sequence(_piece * {PIECE}, {last})"))).drop("_piece")
+
+
 # ---- inside tasks -----------------------------------------------------------
 
 

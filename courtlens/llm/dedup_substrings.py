@@ -413,7 +413,8 @@ def repeated_spans(
     spans = store(
         found.filter("part IS NOT NULL")
         .groupBy("_id", "_h")
-        .agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("parts"))
+        # Rows that repeat in full have equal parts, which one set holds once.
+        .agg(F.array_sort(F.flatten(F.collect_set("part"))).alias("parts"))
         .select("_id", "_h", merged.alias("spans")),
         "spans",
     )

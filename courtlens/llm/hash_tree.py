@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtlens.llm.common import column, store
+from courtlens.llm.common import column, store, unfolded
 
 # Rows that one slot bucket aims at, over all shards.
 BUCKET_ROWS = 50_000
@@ -126,16 +126,10 @@ def shard_rows(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     numbered = placed.withColumn("_first", F.coalesce(F.sum("count").over(inside), F.lit(0)))
-    return numbered.join(before, ["shard", "_bucket"]).select(
-        "_id",
-        "size",
-        "text_crc32",
-        "shard",
-        F.explode(
-            F.sequence(
-                F.col("before") + F.col("_first"),
-                F.col("before") + F.col("_first") + F.col("count") - 1,
-            )
-        ).alias("slot"),
-        "grown_shard",
+    numbered = numbered.join(before, ["shard", "_bucket"]).select(
+        "_id", "size", "text_crc32", "shard", (F.col("before") + F.col("_first")).alias("_from"), "count", "grown_shard"
+    )
+    # A row that repeats very often is unfolded by many tasks.
+    return unfolded(numbered, "count", "_copy", total).select(
+        "_id", "size", "text_crc32", "shard", (F.col("_from") + F.col("_copy")).alias("slot"), "grown_shard"
     )

@@ -23,7 +23,7 @@ The permutations are swap-or-not networks over exactly as many values as needed:
 arithmetic inside one projection, no shuffle and no sort. Running totals (of words before a
 document, of slots before a shard) are added up in two steps, inside ranges of rows and over the
 ranges, so that a source holding most rows is many ranges. Rows that repeat in full travel as one
-row with a count until they are unfolded in pieces of at most PIECE copies.
+row with a count until they are unfolded, in pieces of bounded size.
 
 Everything is fixed by the rows and ``seed``; neither the layout of the files nor the number of
 partitions changes the result.
@@ -41,13 +41,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtlens.llm.common import column, discard, store
+from courtlens.llm.common import column, discard, store, unfolded
 from courtlens.operators.small_tables import join_small
 
-# Copies of one row, slots of one source, and shards that one row or range stands for at most.
-PIECE, RANGE = 10_000, 4096
-# Rows that a task unfolds, and tasks that do so at most.
-TASK_ROWS, MAX_TASKS = 200_000, 20_000
+# Shards of one range of running totals.
+RANGE = 4096
 ROUNDS = 8
 
 # The modulus of the arithmetic, multipliers, and the characters between words.
@@ -112,17 +110,6 @@ def running_total(rows: DataFrame, value: Column, order: list, keys: tuple[str,
     )
 
 
-def unfolded(rows: DataFrame, count: str, number: str, total: int) -> DataFrame:
-    """A row for each of the ``count`` copies of a row, numbered from 0; in two steps.
-
-    ``total`` copies are spread by their number: few rows may stand for many.
-    """
-    pieces = rows.withColumn("_piece", F.explode(F.expr(f"sequence(0L, ({count} - 1) div {PIECE})")))
-    spread = pieces.repartition(min(max(1, -(-total // TASK_ROWS)), MAX_TASKS), "_piece", *rows.columns)
-    last = f"least({count}, (_piece + 1) * {PIECE}) - 1"
-    return spread.withColumn(number, F.explode(F.expr(f"sequence(_piece * {PIECE}, {last})"))).drop("_piece")
-
-
 def target_level(sources: DataFrame, share: tuple[int, int], cap: int) -> float:
     """Words for each unit of weight, once what exceeds the caps has been shared again."""
     total = share[0] / share[1] * (sources.agg(F.sum("source_size")).first()[0] or 0)

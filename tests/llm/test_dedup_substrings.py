@@ -3,7 +3,8 @@ import random
 import pytest
 from cases import prose
 
-from courtlens.llm.dedup_substrings import SuffixAutomaton, dedup_substrings
+from courtlens.llm.common import keyed
+from courtlens.llm.dedup_substrings import SuffixAutomaton, dedup_substrings, repeated_spans
 
 
 def brute(rows, window=13):
@@ -80,3 +81,13 @@ def test_automaton_against_substrings():
 
 def test_empty(no_docs):
     assert dedup_substrings(no_docs).collect() == []
+
+
+def test_rows_that_repeat_share_their_spans(spark):
+    passage = prose(900, 60)
+    rows = [(1, f"{prose(1, 20)} {passage}")] + [(2, f"{passage} {prose(2, 20)}")] * 500 + [(3, prose(3, 40))] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    spans = repeated_spans(keyed(docs, "doc_id", "text"))
+    assert [len(r["spans"]) for r in spans.collect()] == [1]
+    got = dedup_substrings(docs).groupBy("_id", "n_removed").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 1), (2, 60, 500), (3, 0, 500)]

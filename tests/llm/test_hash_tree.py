@@ -67,3 +67,14 @@ def test_slots_over_several_buckets(spark, monkeypatch):
 
 def test_empty(no_docs):
     assert hash_tree.shard_rows(no_docs, TREE, TREE.grown()).collect() == []
+
+
+def test_a_row_that_is_a_third_of_all(spark, monkeypatch):
+    docs = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text")
+    )
+    got = hash_tree.shard_rows(docs, TREE, TREE.grown())
+    hot = got.filter("_id = -5")
+    assert hot.count() == 20_000 and hot.select("slot").distinct().count() == 20_000
+    slots = got.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m"))
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in slots.collect())

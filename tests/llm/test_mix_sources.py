@@ -5,8 +5,9 @@ import pytest
 from cases import prose
 from pyspark.sql import functions as F
 
-from courtlens.llm import mix_sources as module
-from courtlens.llm.mix_sources import block_texts, mix_sources, permuted, unfolded
+from courtlens.llm import common
+from courtlens.llm.common import unfolded
+from courtlens.llm.mix_sources import block_texts, mix_sources, permuted
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -113,7 +114,7 @@ def test_permutations(spark, n):
 
 
 def test_unfolding_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(module, "PIECE", 7)
+    monkeypatch.setattr(common, "PIECE", 7)
     rows = spark.createDataFrame([("a", 1), ("b", 7), ("c", 8), ("d", 50)], "k string, n bigint")
     got = Counter((r["k"], r["at"]) for r in unfolded(rows, "n", "at", 66).collect())
     assert got == Counter((k, i) for k, n in [("a", 1), ("b", 7), ("c", 8), ("d", 50)] for i in range(n))
