@@ -1013,6 +1013,11 @@ ORACLE_SQL |= {
     "clustering_input_bucketed": ORACLE_SQL["clustering_input"],
     "skill_group_names_ranked": ORACLE_SQL["skill_group_names"],
     "playstyle_k_selection_by_group": ORACLE_SQL["playstyle_k_selection"],
+    "nearest_of_many": with_tables(
+        ["scaled"],
+        f"""SELECT a.player_id, arg_min(b.player_id, ({" + ".join(f"(a.{c} - b.{c}) ** 2" for c in SKILL_FEATURES)}, b.player_id)) AS cluster
+FROM scaled a, scaled b WHERE b.player_id % 7 = 0 GROUP BY a.player_id""",
+    ),
     "missing_columns": f"""SELECT feature FROM (SELECT unnest({["c_custkey", *SKILL_FEATURES]}) AS feature)
 WHERE feature NOT IN (SELECT unnest(['c_custkey', 'aggression_mean']) WHERE (SELECT count(*) FROM customer) >= 0)""",
     "small_groups": """SELECT c_nationkey || '/' || floor(c_acctbal / 1000)::BIGINT AS skill_group, count(*) AS players

@@ -22,6 +22,7 @@ from courtlens.operators import (
     group_sweep,
     moments,
     naming,
+    nearest,
     profiles,
     selection,
     silhouette,
@@ -323,6 +324,15 @@ def skill_clusters(spark, sf_dir):
     return selection.cluster_sizes(clustered, ["skill_cluster"])
 
 
+def nearest_of_many(spark, sf_dir):
+    """The nearest, in skill, of every seventh player: centres that grow with the players."""
+    scaled = _scaled(spark, sf_dir)
+    centres = scaled.filter(F.col(PLAYER) % 7 == 0).withColumnRenamed(PLAYER, "cluster")
+    return nearest.assign_nearest(scaled.select(PLAYER, *SKILL_FEATURES), SKILL_FEATURES, centres, "cluster").select(
+        PLAYER, "cluster"
+    )
+
+
 def nearest_centre(spark, sf_dir):
     """Assignment to fixed centres, and the centres after one update."""
     centres = F.array(
@@ -648,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         player_archetypes,
         scaler_parameters_merged,
         clustering_input_bucketed,
+        nearest_of_many,
         skill_group_names_ranked,
         playstyle_k_selection_by_group,
         missing_columns,
