@@ -32,6 +32,18 @@ from courtlens.operators.fitted import (  # noqa: E402
     residual_lines,
     skill_bounds,
 )
+from courtlens.operators.group_sweep import sweep_groups  # noqa: E402
+from courtlens.operators.moments import (  # noqa: E402
+    components_of_states,
+    fit_states,
+    lines_of_states,
+    merge_fit_states,
+    merge_player_states,
+    player_states,
+    profiles_of_states,
+    scaler_of_states,
+    take_back,
+)
 from courtlens.operators.naming import (  # noqa: E402
     apply_playstyle_archetypes,
     apply_skill_cluster_labels,
@@ -39,8 +51,10 @@ from courtlens.operators.naming import (  # noqa: E402
     interpret_skill_clusters,
     name_playstyles,
     playstyle_centroids,
+    rank_skill_clusters,
     scaled_centroids,
 )
+from courtlens.operators.nearest import assign_nearest  # noqa: E402
 from courtlens.operators.profiles import aggregate_player_profiles, match_features  # noqa: E402
 from courtlens.operators.selection import (  # noqa: E402
     cluster_playstyles,
@@ -49,6 +63,7 @@ from courtlens.operators.selection import (  # noqa: E402
     prepare_clustering_data,
     select_playstyle_k,
     select_skill_k,
+    small_groups,
 )
 from courtlens.operators.silhouette import silhouette  # noqa: E402
 from courtlens.operators.skill import (  # noqa: E402
@@ -81,9 +96,25 @@ from courtlens.plans.player_report import (  # noqa: E402
     find_skill_groups,
     player_report,
 )
+from courtlens.sources.player_tables import drop_player_table, save_by_player  # noqa: E402
 from courtlens.sources.tables import read_match_logs, read_ratings  # noqa: E402
 
 __all__ = [
+    "sweep_groups",
+    "components_of_states",
+    "fit_states",
+    "lines_of_states",
+    "merge_fit_states",
+    "merge_player_states",
+    "player_states",
+    "profiles_of_states",
+    "scaler_of_states",
+    "take_back",
+    "rank_skill_clusters",
+    "assign_nearest",
+    "small_groups",
+    "save_by_player",
+    "drop_player_table",
     "OffendingPlayers",
     "adjusted_rand_index",
     "archetype_evidence",

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,23 +48,19 @@ def join_rows(
     return df.join(table, list(on), how)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="courtlens-")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it gets a temporary folder. On a cluster such a folder
-    would be invisible to the other machines, so the setting is required there.
+    Only a local session may go without: it uses a folder in its warehouse. On a cluster the setting
+    is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    return _local_folder()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:").rstrip("/")
+    return f"{warehouse}/_checkpoints"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -467,3 +467,18 @@ def test_clusters_that_bounds_rule_out_cost_no_distances():
     asked = np.isfinite(sums)
     # A point's distance to itself is the root of a rounding error.
     assert sums[asked] == pytest.approx(exact[asked], abs=1e-5) and (asked == needed).all()
+
+
+def test_silhouette_of_a_sample(spark):
+    x, labels = blobs([(0, 0), (5, 0), (0, 6)], n=900, spread=1.0, seed=8)
+    df = frame(spark, x, team=["a", "b", "b"] * 900).withColumn("label", F.lit(0))
+    df = df.withColumn("label", F.when(F.col("x") > 2.5, 1).when(F.col("y") > 3, 2).otherwise(0))
+    whole = {r.team: r.silhouette for r in silhouette(df, XY, ["label"], "team").collect()}
+    some = silhouette(df, XY, ["label"], "team", sample_size=400)
+    part = {r.team: r.silhouette for r in some.collect()}
+    again = silhouette(df.repartition(7), XY, ["label"], "team", sample_size=400).collect()
+    assert part == pytest.approx({r.team: r.silhouette for r in again}, abs=1e-9)
+    for team, value in whole.items():
+        assert part[team] != value and part[team] == pytest.approx(value, abs=0.05)
+    every = silhouette(df, XY, ["label"], "team", sample_size=10_000).collect()
+    assert {r.team: r.silhouette for r in every} == pytest.approx(whole)
