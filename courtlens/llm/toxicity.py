@@ -156,9 +156,16 @@ _JOINS = [b in _JOINERS for b in range(256)]
 _CLASS = BYTE_CLASS.tolist()
 
 
-def _flat(model: np.ndarray) -> list[float]:
-    """The model as a list, whose items cost less to reach one by one."""
-    return model.ravel().tolist()
+class _Flat(list):
+    """The model as a list, whose items cost less to reach one by one, and as it was."""
+
+    table: np.ndarray
+
+
+def _flat(model: np.ndarray) -> _Flat:
+    flat = _Flat(model.ravel().tolist())
+    flat.table = model
+    return flat
 
 
 def restore_word(seen: bytes, model: np.ndarray | list[float]) -> bytes:
@@ -224,6 +231,7 @@ _PLAIN = byte_table([(0x41, 0x5A), (0x61, 0x7A)])
 _ODD = byte_table([(ord(c), ord(c)) for c in LOOKALIKES if c != "2"])
 _DOT = byte_table([(ord(c), ord(c)) for c in ".-_*"])
 _ANY_ODD = byte_table([(ord(c), ord(c)) for c in LOOKALIKES])
+_JOIN = byte_table([(b, b) for b in _JOINERS])
 _DIGITS = byte_table([(0x30, 0x39)])
 _MONEY = byte_table([(0x24, 0x24), (0x40, 0x40)])
 
@@ -319,6 +327,37 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def _unsure(
+    data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray
+) -> np.ndarray:
+    """Which ranges may read otherwise: all but those whose only readings drop letters that stay.
+
+    Where the byte after a doubled letter is plain, the paths with and without the letter meet again
+    there, so that the three costs up to it decide. Words end at class 0, as texts do.
+    """
+    lower = np.where(_PLAIN[data], data | 0x20, data)
+    double = np.zeros(len(data), bool)
+    double[1:] = (lower[1:] == lower[:-1]) & (data[1:] < 0x80)
+    at = np.flatnonzero(double)
+    classes = BYTE_CLASS[data]
+    padded = np.concatenate([[0, 0], classes, [0]])
+    first, last = (np.zeros(len(data) + 1, bool) for _ in range(2))
+    first[offsets[:-1]], last[offsets[1:]] = True, True
+    x = classes[at]
+    before = np.where(first[at - 1], 0, padded[at])
+    after = np.where(last[at + 1], 0, padded[at + 3])
+    stays = -table[before, x, x] - table[x, x, after] <= _REPEATED - table[before, x, after]
+    beside = np.zeros(len(at), bool)
+    beside[:-1] = at[1:] == at[:-1] + 1
+    drops = np.zeros(len(data), bool)
+    drops[at[~stays | beside]] = True
+    sums = [_sums(flags) for flags in (_ANY_ODD[data], _JOIN[data], drops)]
+    inner = np.minimum(starts + 1, ends)
+    many = sums[0][ends] - sums[0][starts]
+    many += sums[1][np.maximum(ends - 1, inner)] - sums[1][inner]
+    return many + sums[2][ends] - sums[2][inner] > 0
+
+
 def _restored(seen: bytes, model: np.ndarray | list[float], cache: dict[bytes, bytes]) -> bytes:
     meant = cache.get(seen)
     if meant is None:
@@ -386,6 +425,9 @@ def _fold(data: np.ndarray) -> np.ndarray:
     return out
 
 
+_SALTS = mix(np.arange(1, max(PREFIXES) + 2, dtype=np.uint64))
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(hash, word, text, long) of every word and of its beginnings of PREFIXES bytes."""
     return _features(data, offsets)[1]
@@ -400,8 +442,8 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, tuple[np.nd
     for n in PREFIXES:
         longer = np.flatnonzero(words.ends - words.starts > n)
         start = words.starts[longer]
-        # A salt keeps a beginning apart from the whole word of the same letters.
-        hashes.append(mix(range_hash(start, start + n) + np.uint64(n)))
+        # A salt keeps a beginning apart from the whole word of the same letters, and of others.
+        hashes.append(mix(range_hash(start, start + n) ^ _SALTS[n]))
         owners.append(longer)
         long.append(np.full(len(longer), n >= LONG))
     owner = np.concatenate(owners)
@@ -415,6 +457,9 @@ def restored_features(
     data, offsets = restore_chunk(data, offsets, model, cache)
     words, found = _features(data, offsets)
     starts, ends = readable(data, find_words(data, offsets, SPACED, UNCHANGED))
+    if len(starts):
+        unsure = _unsure(data, offsets, starts, ends, getattr(model, "table", model))
+        starts, ends = starts[unsure], ends[unsure]
     if not len(starts):
         return found
     # Equal ranges are read once. Bytes tell them apart, not hashes.
