@@ -32,6 +32,7 @@ documents may have columns of any other names, label columns among them: none is
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from courtlens.llm.common import carried_text, chunks, column, mix, store, text_buffer
 from courtlens.llm.shingles import (
+    LOWER,
     SPACED,
     UNCHANGED,
     Words,
@@ -150,80 +152,118 @@ def _lattice(seen: bytes) -> list[list[tuple[int, float]]]:
     return [_options(b, last[i], 0 < i < len(seen) - 1) for i, b in enumerate(seen)]
 
 
-# Bytes with another reading wherever they stand, and those that may be left out inside.
-_OTHERWISE = [chr(b) in LOOKALIKES for b in range(256)]
-_JOINS = [b in _JOINERS for b in range(256)]
 _CLASS = BYTE_CLASS.tolist()
+# Bytes that may have another reading: look-alikes, separators, and those that repeat the one before.
+_ODD_PLACE = re.compile(
+    b"[" + re.escape("".join(LOOKALIKES).encode() + _JOINERS) + rb"]|(?<=([\x00-\x7f]))\1"
+).search
+# By whether a byte repeats the one before, whether it stands inside, and the byte: its options with
+# their classes. One option is the byte itself.
+_CHOICES = [
+    [
+        [
+            [(meant, _CLASS[meant], cost) for meant, cost in _options(b, b if repeats else -1, inside)]
+            for b in range(256)
+        ]
+        for inside in (False, True)
+    ]
+    for repeats in (False, True)
+]
 
 
 class _Flat(list):
-    """The model as a list, whose items cost less to reach one by one, and as it was."""
+    """The model as a list, whose items cost less to reach one by one, as it was, and passages read."""
 
     table: np.ndarray
+    read: dict[tuple[bytes, bytes, bool], bytes]
 
 
 def _flat(model: np.ndarray) -> _Flat:
     flat = _Flat(model.ravel().tolist())
     flat.table = model
+    flat.read = {}
     return flat
 
 
-def restore_word(seen: bytes, model: np.ndarray | list[float]) -> bytes:
+def restore_word(seen: bytes, model: np.ndarray | _Flat) -> bytes:
     """The likeliest characters behind the bytes seen, lower-cased where ASCII.
 
     Viterbi search over the last two classes meant. Where one state is left, all paths have what came
     before in common, and its cost is left out; two plain bytes after the last reading see to that.
+    So a word is read passage by passage, and a passage depends on the two bytes meant before it.
     """
     seen = seen.lower()
-    flat = model if isinstance(model, list) else _flat(model)
-    size = len(seen)
-    out: list[int] = []
-    # One state is (64 * class before last + class of the last), without cost; more are a dictionary
-    # from such a state to the cost and the bytes meant since they parted.
-    state, states, last = 0, None, -1
-    for i, b in enumerate(seen):
-        plain = not (
-            _OTHERWISE[b] or b == last and b < 0x80 or _JOINS[b] and 0 < i < size - 1
-        )
-        if plain and states is None:
-            out.append(b)
-            state = state % CLASSES * CLASSES + _CLASS[b]
-            last = b
-            continue
-        options = [(b, 0.0)] if plain else _options(b, last, 0 < i < size - 1)
+    flat = model if isinstance(model, _Flat) else _flat(model)
+    size, done = len(seen), 0
+    out = bytearray()
+    while (place := _ODD_PLACE(seen, done)) is not None:
+        start = place.start()
+        out += seen[done:start]
+        # Up to two plain bytes in a row, or to the end.
+        while place is not None:
+            done = place.end()
+            place = _ODD_PLACE(seen, done, done + 2)
+        done = min(done + 2, size)
+        # The first byte of a word is meant, so that nothing before says that it begins here.
+        passage = (bytes(out[-2:]), seen[max(0, start - 1) : done], done == size)
+        meant = flat.read.get(passage)
+        if meant is None:
+            if len(flat.read) >= 200_000:
+                flat.read.clear()
+            meant = _read_passage(*passage, flat)
+            if done - start <= 64:
+                flat.read[passage] = meant
+        out += meant
+    return bytes(out + seen[done:])
+
+
+def _read_passage(before: bytes, seen: bytes, ends: bool, flat: _Flat) -> bytes:
+    """What is meant by ``seen``, whose first byte is the one before the passage if there is one.
+
+    ``before`` are the last bytes meant, at most two; ``ends`` if the word ends here.
+    """
+    state = 0
+    for b in before:
+        state = state % CLASSES * CLASSES + _CLASS[b]
+    # States are 64 * class before last + class of the last, without cost where one is left; with the
+    # cost and the bytes meant since they parted.
+    states: dict[int, tuple[float, tuple | None]] = {state: (0.0, None)}
+    out, final = bytearray(), len(seen) - 1 if ends else len(seen)
+    first = 1 if before else 0
+    last = seen[0] if before else -1
+    for i in range(first, len(seen)):
+        b = seen[i]
+        options = _CHOICES[b == last][0 < i < final][b]
         last = b
         after: dict[int, tuple[float, tuple | None]] = {}
-        for key, (cost, path) in states.items() if states is not None else ((state, (0.0, None)),):
-            at = key * CLASSES
-            for meant, channel in options:
+        for key, (cost, path) in states.items():
+            shorter, at = key % CLASSES * CLASSES, key * CLASSES
+            for meant, c, channel in options:
                 if meant < 0:
                     to, total, way = key, cost + channel, path
                 else:
-                    c = _CLASS[meant]
-                    to, total, way = key % CLASSES * CLASSES + c, cost + channel - flat[at + c], (meant, path)
-                known = after.get(to)
-                if known is None or total < known[0]:
+                    to, total, way = shorter + c, cost + channel - flat[at + c], (meant, path)
+                if to not in after or total < after[to][0]:
                     after[to] = (total, way)
         if len(after) == 1:
             ((state, (_, path)),) = after.items()
             out += _meant(path)
-            states = None
-        else:
-            states = after
-    if states is not None:
-        _, path = min(
-            ((cost - flat[key * CLASSES], path) for key, (cost, path) in states.items()), key=lambda x: x[0]
-        )
-        out += _meant(path)
-    return bytes(out)
+            after = {state: (0.0, None)}
+        states = after
+    if len(states) == 1:
+        return bytes(out)
+    _, path = min(
+        ((cost - flat[key * CLASSES], path) for key, (cost, path) in states.items()), key=lambda x: x[0]
+    )
+    return bytes(out + _meant(path))
 
 
-def _meant(path: tuple | None) -> list[int]:
+def _meant(path: tuple | None) -> bytes:
     out = []
     while path is not None:
-        out.append(path[0])
-        path = path[1]
-    return out[::-1]
+        meant, path = path
+        out.append(meant)
+    return bytes(out[::-1])
 
 
 _LETTER = byte_table([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
@@ -244,6 +284,11 @@ def _counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return np.bincount(of[inside], minlength=len(starts))
 
 
+def _any(at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which ranges, in any order, hold one of the places ``at``, which ascend."""
+    return np.searchsorted(at, ends) > np.searchsorted(at, starts)
+
+
 def _sums(flags: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(flags) + 1, np.int32)
     np.cumsum(flags, out=sums[1:])
@@ -300,7 +345,7 @@ def readable(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     def total(flags: np.ndarray, first: np.ndarray = starts, last: np.ndarray = ends) -> np.ndarray:
         return _counts(flags, first, last)
 
-    lower = np.where(_PLAIN[data], data | 0x20, data)
+    lower = LOWER[data]
     double = np.zeros(len(data), bool)
     double[1:] = (lower[1:] == lower[:-1]) & (data[1:] < 0x80)
     letter, odd = _LETTER[data], _ANY_ODD[data]
@@ -335,27 +380,23 @@ def _unsure(
     Where the byte after a doubled letter is plain, the paths with and without the letter meet again
     there, so that the three costs up to it decide. Words end at class 0, as texts do.
     """
-    lower = np.where(_PLAIN[data], data | 0x20, data)
+    lower = LOWER[data]
     double = np.zeros(len(data), bool)
     double[1:] = (lower[1:] == lower[:-1]) & (data[1:] < 0x80)
     at = np.flatnonzero(double)
-    classes = BYTE_CLASS[data]
-    padded = np.concatenate([[0, 0], classes, [0]])
     first, last = (np.zeros(len(data) + 1, bool) for _ in range(2))
     first[offsets[:-1]], last[offsets[1:]] = True, True
-    x = classes[at]
-    before = np.where(first[at - 1], 0, padded[at])
-    after = np.where(last[at + 1], 0, padded[at + 3])
+    x = BYTE_CLASS[data[at]]
+    before = np.where(first[at - 1], 0, BYTE_CLASS[data[np.maximum(at - 2, 0)]])
+    after = np.where(last[at + 1], 0, BYTE_CLASS[data[np.minimum(at + 1, len(data) - 1)]])
     stays = -table[before, x, x] - table[x, x, after] <= _REPEATED - table[before, x, after]
     beside = np.zeros(len(at), bool)
     beside[:-1] = at[1:] == at[:-1] + 1
-    drops = np.zeros(len(data), bool)
-    drops[at[~stays | beside]] = True
-    sums = [_sums(flags) for flags in (_ANY_ODD[data], _JOIN[data], drops)]
+    drops = at[~stays | beside]
     inner = np.minimum(starts + 1, ends)
-    many = sums[0][ends] - sums[0][starts]
-    many += sums[1][np.maximum(ends - 1, inner)] - sums[1][inner]
-    return many + sums[2][ends] - sums[2][inner] > 0
+    unsure = _any(np.flatnonzero(_ANY_ODD[data]), starts, ends)
+    unsure |= _any(np.flatnonzero(_JOIN[data]), inner, np.maximum(ends - 1, inner))
+    return unsure | _any(drops, inner, ends)
 
 
 def _restored(seen: bytes, model: np.ndarray | list[float], cache: dict[bytes, bytes]) -> bytes:
@@ -374,7 +415,7 @@ def restore_chunk(
     data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict[bytes, bytes]
 ) -> tuple[np.ndarray, np.ndarray]:
     """The texts with suspicious ranges restored, and their offsets."""
-    words = find_words(data, offsets, SPACED, UNCHANGED)
+    words = find_words(data, offsets, SPACED, UNCHANGED, hashed=False)
     starts, ends = suspicious(data, words)
     if not len(starts):
         return data, offsets
@@ -435,9 +476,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, tuple[np.ndarray, ...]]:
     folded = _fold(data)
-    words = find_words(folded, offsets, _LETTER, UNCHANGED)
+    words = find_words(folded, offsets, _LETTER, UNCHANGED, hashed=False)
     range_hash = prefix_hashes(folded)
-    hashes, owners = [words.hashes], [np.arange(len(words.starts))]
+    hashes, owners = [mix(range_hash(words.starts, words.ends))], [np.arange(len(words.starts))]
     long = [np.ones(len(words.starts), bool)]
     for n in PREFIXES:
         longer = np.flatnonzero(words.ends - words.starts > n)
@@ -456,7 +497,7 @@ def restored_features(
     """``features`` of the restored texts and of other readings, whose word is the one they read."""
     data, offsets = restore_chunk(data, offsets, model, cache)
     words, found = _features(data, offsets)
-    starts, ends = readable(data, find_words(data, offsets, SPACED, UNCHANGED))
+    starts, ends = readable(data, find_words(data, offsets, SPACED, UNCHANGED, hashed=False))
     if len(starts):
         unsure = _unsure(data, offsets, starts, ends, getattr(model, "table", model))
         starts, ends = starts[unsure], ends[unsure]
@@ -472,9 +513,10 @@ def restored_features(
     readings = [_restored(seen, model, cache) for seen in forms]
     changed = np.array([meant != seen.lower() for seen, meant in zip(forms, readings)])
     mine = changed[form]
-    starts, ends, form = starts[mine], ends[mine], form[mine]
+    starts, ends, form = starts[mine], ends[mine], (np.cumsum(changed) - 1)[form[mine]]
     if not len(form):
         return found
+    readings = [meant for meant, new in zip(readings, changed.tolist()) if new]
     joined = np.frombuffer(b"".join(readings), np.uint8)
     _, (hashes, _, of, long) = _features(joined, np.cumsum([0, *map(len, readings)]))
     order = np.argsort(of, kind="stable")
