@@ -25,7 +25,7 @@ from courtlens.llm import (
     simhash,
     toxicity,
 )
-from courtlens.llm.common import read_table, store
+from courtlens.llm.common import read_table, store, store_texts
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
@@ -84,7 +84,8 @@ def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(queries.VOCABULARY)
-    return queries.token_digests(byte_bpe.round_trip(spark, docs, path))
+    # Stored here for the bound on batches; digests are small.
+    return store_texts(queries.token_digests(byte_bpe.round_trip(spark, docs, path)), "tokens")
 
 
 STAGES = [
@@ -102,5 +103,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        docs = store_texts(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

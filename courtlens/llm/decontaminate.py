@@ -34,6 +34,7 @@ from courtlens.llm.common import (
     column,
     keyed,
     store,
+    store_texts,
     text_buffer,
 )
 from courtlens.llm.shingles import ALNUM, LOWER, find_words, grams, winnow
@@ -163,7 +164,7 @@ def decontaminate(
         raise ValueError("gram must lie between 1 and window")
     spark = docs.sparkSession
     kind = items.select(column(items, item_col)).schema[0].dataType.simpleString()
-    tests = store(
+    tests = store_texts(
         keyed(items, item_col, text_col).mapInArrow(
             _windows_of_items(gram, window), f"_id {kind}, words int, print bigint, text string"
         ),
@@ -186,7 +187,7 @@ def decontaminate(
     share = spark.sparkContext.broadcast
     source = keyed(docs, id_col, text_col)
     kind = source.schema["_id"].dataType.simpleString()
-    read = store(
+    read = store_texts(
         source.mapInArrow(
             _candidate_windows(gram, window, sorted(lengths), share(prints), share(texts)),
             f"_id {kind}, _h bigint, n_words bigint, spans {_SPANS}",

@@ -43,6 +43,7 @@ from courtlens.llm.common import (
     keyed,
     mix,
     store,
+    store_texts,
     text_buffer,
 )
 from courtlens.llm.shingles import SPACED, UNCHANGED, Words, find_words, run_hashes, winnow
@@ -327,7 +328,7 @@ def repeated_spans(
     share = spark.sparkContext.broadcast
     kind = source.schema["_id"].dataType.simpleString()
     source = source.filter("_id IS NOT NULL")
-    shared = store(
+    shared = store_texts(
         source.select("_text")
         .mapInArrow(_fingerprints(gram, window), "print bigint")
         .repartition("print")
@@ -339,7 +340,7 @@ def repeated_spans(
     )
     repeated = share(bloom_filter(shared, bloom_bits(shared.count())))
     schema = f"shard bigint, code bigint, _id {kind}, _h bigint, start int, words int"
-    copies = store(source.mapInArrow(_passages(gram, window, repeated), schema), "passages")
+    copies = store_texts(source.mapInArrow(_passages(gram, window, repeated), schema), "passages")
 
     def fold(df: DataFrame) -> DataFrame:
         low, high = F.min("_id").alias("low"), F.max("_id").alias("high")
@@ -354,7 +355,7 @@ def repeated_spans(
     if not large.isEmpty():
         held = share(bloom_filter(large, bloom_bits(large.count())))
         cut = source.mapInArrow(_single_windows(gram, window, held), schema)
-        copies = store(
+        copies = store_texts(
             copies.join(large, "shard", "left_anti").unionByName(cut), "passages_cut_again"
         )
         distinct = store(fold(copies), "distinct_passages_cut_again")
@@ -386,7 +387,7 @@ def repeated_spans(
     )
     # Stored, so that the join below shuffles both of its sides and a passage of very many
     # documents can be split.
-    todo = store(
+    todo = store_texts(
         distinct.join(first_copies, ["shard", "code"], "left").filter(
             "low < high OR runs IS NOT NULL"
         ),

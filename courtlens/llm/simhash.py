@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.llm.common import keyed, store
+from courtlens.llm.common import keyed, store, store_texts
 from courtlens.llm.components import connected_components
 
 SHINGLE = 3
@@ -186,7 +186,7 @@ def near_duplicates(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """(_id, _h, print, component_id) per document; component_id is the smallest id of its group."""
-    prints = store(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    prints = store_texts(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = store(prints.groupBy("print").agg(F.min("_id").alias("low")), "distinct")
     groups = connected_components(near_links(distinct, distance))
     rooted = distinct.join(groups, distinct["print"] == groups["vertex"], "left").select(

@@ -40,7 +40,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtlens.llm.common import carried_text, chunks, column, mix, store, text_buffer
+from courtlens.llm.common import (
+    bounded_batches,
+    carried_text,
+    chunks,
+    column,
+    mix,
+    store,
+    text_buffer,
+)
 from courtlens.llm.shingles import (
     LOWER,
     SPACED,
@@ -103,13 +111,14 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def character_model(texts: DataFrame) -> np.ndarray:
     """Log-probability of each class after two others, Witten-Bell smoothed; over all texts."""
-    counted = (
+    found = (
         texts.select("_text")
         .mapInArrow(_count_trigrams, "code bigint, n bigint")
         .groupBy("code")
         .agg(F.sum("n").alias("n"))
-        .toArrow()
     )
+    with bounded_batches(texts.sparkSession):
+        counted = found.toArrow()
     counts = np.zeros(CLASSES**3)
     counts[counted["code"].to_numpy()] = counted["n"].to_numpy()
     p = np.full((1, CLASSES), 1 / CLASSES)
@@ -700,13 +709,14 @@ def score_toxicity(
     schema = "feature bigint, bad bigint, good bigint"
 
     toxic_rows = train.filter("NOT fits AND toxic = 1").count()
-    counted = (
+    found = (
         counting.mapInArrow(_feature_rows(model), schema)
         .groupBy("feature")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .filter(F.col("bad") >= max(MIN_ROWS, toxic_rows // MAX_SHARES))
-        .toArrow()
     )
+    with bounded_batches(spark):
+        counted = found.toArrow()
     hashes = counted["feature"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     keys = hashes[order]
@@ -714,12 +724,13 @@ def score_toxicity(
     fitted = share((keys, weights))
     measure = _measures(model, fitted)
     # At most MAX_LABELLED rows of four numbers.
-    rows = (
+    fitting = (
         labelled.filter("fits")
         .select("_text", "toxic")
         .mapInArrow(measure, "toxic int, best double, short double, heavy bigint")
-        .toArrow()
     )
+    with bounded_batches(spark):
+        rows = fitting.toArrow()
     y = rows["toxic"].to_numpy().astype(float)
     if len(y) and 0 < y.sum() < len(y):
         fit = fit_logistic(_inputs(*(rows[c].to_numpy() for c in ("best", "short", "heavy"))), y)
