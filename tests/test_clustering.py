@@ -3,10 +3,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from courtlens.operators import kmeans, lloyd_bounds, silhouette as silhouette_module
+from courtlens.operators import kmeans, lloyd_bounds, selection, silhouette as silhouette_module
 from courtlens.operators.agreement import adjusted_rand_index
 from courtlens.operators.kmeans import assign_clusters, fit_kmeans
-from courtlens.operators.points import ALL, pack_points
+from courtlens.operators.points import ALL, fold_points, pack_points
 from courtlens.operators.selection import (
     cluster_playstyles,
     cluster_skill_groups,
@@ -18,6 +18,7 @@ from courtlens.operators.selection import (
 )
 from courtlens.operators.silhouette import silhouette
 from courtlens.schema import SKILL_FEATURES
+from registry import queries
 
 XY = ["x", "y"]
 
@@ -482,3 +483,43 @@ def test_silhouette_of_a_sample(spark):
         assert part[team] != value and part[team] == pytest.approx(value, abs=0.05)
     every = silhouette(df, XY, ["label"], "team", sample_size=10_000).collect()
     assert {r.team: r.silhouette for r in every} == pytest.approx(whole)
+
+
+def test_stability_query_fits_twenty_restarts_until_they_settle(spark, monkeypatch):
+    x = np.random.default_rng(17).normal(size=(240, 2))
+    df = frame(spark, x, skill_group=["a", "b"] * 120)
+    monkeypatch.setattr(queries, "_component_input", lambda spark, sf_dir: (df, XY))
+    fits = []
+
+    def counted(points, ks, seeds, **options):
+        models = fit_kmeans(points, ks, seeds, **options)
+        fits.append((options, models))
+        return models
+
+    monkeypatch.setattr(selection, "fit_kmeans", counted)
+    rows = queries.playstyle_stability(spark, "").collect()
+    ((options, models),) = fits
+    assert options["starts"] is None and (options["n_init"], options["max_iter"]) == (20, 300)
+    assert sorted((r.skill_group, r.seed) for r in rows) == [(g, s) for g in "ab" for s in (1, 7, 21, 42, 100)]
+    assert len(models) == 2 * 5 * 4 and max(m.iterations for m in models) > 3
+    for m in models:
+        mine = x["ab".index(m.group) :: 2]
+        assert cost(mine, m.centres) <= 1.05 * lloyd(mine, m.k, 20)
+
+
+def test_draws_do_not_go_by_the_last_digits(spark):
+    rng = np.random.default_rng(23)
+    x = rng.normal(size=(400, 2))
+    noisy = x * (1 + 1e-13 * rng.normal(size=x.shape))
+    one, other = (fit(frame(spark, points), XY, {ALL: [8]}, n_init=1)[0][0] for points in (x, noisy))
+    assert np.abs(one.centres - other.centres).max() < 1e-9
+
+
+def test_points_of_equal_digits_draw_apart(spark):
+    x = np.repeat(np.random.default_rng(29).normal(size=(40, 2)), 10, axis=0)
+    x[0], x[10:20, 0] = 0.0, 0.0
+    x = x * (1 + 1e-12 * np.arange(len(x))[:, None])
+    rows = fold_points(frame(spark, x), XY, None).collect()
+    assert len({(r.x0, r.x1) for r in rows}) == len({r.hash for r in rows}) == len(rows)
+    (model,), _ = fit(frame(spark, x), XY, {ALL: [12]}, n_init=20)
+    assert len(model.centres) == 12 and cost(x, model.centres) <= 1.1 * lloyd(x, 12, 20)
