@@ -523,3 +523,36 @@ def test_points_of_equal_digits_draw_apart(spark):
     assert len({(r.x0, r.x1) for r in rows}) == len({r.hash for r in rows}) == len(rows)
     (model,), _ = fit(frame(spark, x), XY, {ALL: [12]}, n_init=20)
     assert len(model.centres) == 12 and cost(x, model.centres) <= 1.1 * lloyd(x, 12, 20)
+
+
+@pytest.mark.parametrize("k", [1, 3, 127, 128, 300])
+def test_nearest_of_any_number_of_centres(k):
+    rng = np.random.default_rng(k)
+    x, centres = rng.normal(size=(50, 3)), rng.normal(size=(4, k, 3))
+    centres[1, -1] = centres[1, 0]  # of equal centres the first
+    nearest = kmeans._nearest(x, centres)
+    want = ((x[:, None, None] - centres[None]) ** 2).sum(3).argmin(2)
+    assert nearest.shape == (50, 4) and (nearest == want).all()
+    assert nearest.dtype.itemsize == (1 if k <= 128 else 2)
+
+
+def test_points_cross_to_python_in_blocks(spark, monkeypatch):
+    x = np.random.default_rng(31).normal(size=(600, 2))
+    df = frame(spark, np.concatenate([x, x[:100]]), team=["a", "b", "b"] * 200 + ["a", "b", "b", "b"] * 25).coalesce(1)
+    ks, sent = {"a": [2, 5], "b": [3]}, []
+    keep = kmeans._Passes.keep_blocks
+
+    def counted(passes):
+        keep(passes)
+        sent.append(passes.blocks.count())
+
+    monkeypatch.setattr(kmeans._Passes, "keep_blocks", counted)
+    monkeypatch.setattr(kmeans, "BLOCK_POINTS", 64)
+    blocks, points = fit(df, XY, ks, "team", n_init=3)
+    distinct = [points.groups[g].distinct for g in "ab"]
+    assert sent and sum(distinct) // 64 <= sent[0] <= sum(distinct) // 64 + 2 * 8
+    monkeypatch.setattr(kmeans, "BLOCKS_FROM_STEPS", 10**6)
+    rows, _ = fit(df, XY, ks, "team", n_init=3)
+    assert len(sent) == 1 and [(m.group, m.k) for m in blocks] == [(m.group, m.k) for m in rows]
+    for one, other in zip(blocks, rows):
+        assert one.iterations == other.iterations and np.abs(one.centres - other.centres).max() < 1e-9
