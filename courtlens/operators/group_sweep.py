@@ -178,7 +178,7 @@ def sweep_groups(
     Groups whose players are all alike have no chosen model; smaller groups have none at all.
     ``starts`` gives the starting centres of a group instead of random restarts.
     """
-    packed = materialize(fold_points(df, features, group_col), "group_points")
+    packed = materialize(fold_points(df, features, group_col, draws=starts is None), "group_points")
     large = (
         packed.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > local_points).select("grp")
     )
